@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import line_dedup, packing, source_mix
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -18,12 +18,58 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"), least=10).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+OP4_SQL = r"""
+WITH l AS (
+  SELECT doc_id, i, line, lower_key, length(lower_key) AS n FROM (
+    SELECT doc_id, i, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_key
+    FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                 generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents))),
+shared AS (SELECT lower_key, min(doc_id) AS owner FROM l WHERE n >= 10 GROUP BY lower_key HAVING count(DISTINCT doc_id) > 1),
+marked AS (SELECT l.*, s.owner IS NOT NULL AND s.owner <> l.doc_id AS dropped FROM l LEFT JOIN shared s ON l.n >= 10 AND l.lower_key = s.lower_key)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (dropped)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix_sources(table(spark, sf_dir, "documents"), weights=(1, 2, 3), max_epochs=3).select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5('mix:' || doc_id) AS place, text FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS i FROM d GROUP BY source),
+w AS (SELECT *, (i - 1) % 3 + 1 AS w, 3 * source_size AS cap FROM s),
+o AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER p, 0))::BIGINT AS budget, (sum(w) OVER () - coalesce(sum(w) OVER p, 0))::BIGINT AS weight
+      FROM w WINDOW p AS (ORDER BY cap / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT *, w * budget > cap * weight AS capped FROM o),
+u AS (SELECT sum(source_size)::BIGINT - coalesce(sum(cap) FILTER (capped), 0)::BIGINT AS budget, coalesce(sum(w) FILTER (NOT capped), 0)::BIGINT AS weight FROM f),
+t AS (SELECT source, source_size, CASE WHEN capped THEN cap::DOUBLE ELSE (w * u.budget)::DOUBLE / u.weight END AS target FROM f, u),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
+a AS (SELECT d.doc_id, size, source_size, target, whole, target - whole * source_size AS need,
+             coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, d.doc_id, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+      FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, size, source_size, target,
+       ((whole + CASE WHEN need > 0 AND ahead + size / 2 <= need THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM a
+"""
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), capacity=2048, end_id=0)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_line_dedup": op4_line_dedup,
+    "op7_source_mix": op7_source_mix,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": OP4_SQL,
+    "op7_source_mix": OP7_SQL,
+}
