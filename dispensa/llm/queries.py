@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, packing, source_mix
+from . import line_dedup, minhash_dedup, packing, quality_rules, source_mix
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -18,6 +18,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge_quality(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_STOP = ", ".join(f"'{w}'" for w in sorted({w for words in quality_rules.STOP_WORDS.values() for w in words.split()}))
+_FAILS = " OR ".join(
+    f"(n_words >= {r.min_words} AND ({' OR '.join([f'{r.statistic} < {r.least}'] * (r.least is not None) + [f'{r.statistic} > {r.most}'] * (r.most is not None))}))" for r in quality_rules.RULES
+)
+OP1_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM g) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY r),
+s AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+        coalesce(rep.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
+        len(list_filter(words, lambda x: lower(x) IN ({_STOP}))) AS n_stop,
+        len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…) *$'))) AS n_ellipsis,
+        len(list_filter(lines, lambda x: regexp_matches(x, '^ *[-*•·–]'))) AS n_bullet,
+        length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper
+      FROM w LEFT JOIN rep USING (r)),
+v AS (SELECT *, coalesce(word_chars / nullif(n_words, 0), 0) AS mean_word_length, coalesce(n_symbols / nullif(n_words, 0), 0) AS symbols_per_word,
+        coalesce(n_stop / nullif(n_words, 0), 0) AS stop_word_ratio, coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS duplicate_line_ratio,
+        coalesce(n_ellipsis / nullif(n_lines, 0), 0) AS ellipsis_line_ratio, coalesce(n_bullet / nullif(n_lines, 0), 0) AS bullet_line_ratio,
+        coalesce(n_upper / nullif(word_chars, 0), 0) AS upper_case_ratio, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({_FAILS}) AS kept FROM v
+"""
+
+
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=5, num=85, den=100)
+
+
+OP2_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, g FROM (
+        SELECT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)
+        UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM w WHERE len(w) BETWEEN 1 AND 4)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+c AS (SELECT doc_id AS v, doc_id AS root FROM documents UNION SELECT l.b, c.root FROM c JOIN l ON l.a = c.v)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT v, min(root) AS component_id FROM c GROUP BY v) m ON m.v = d.doc_id
+"""
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"), least=10).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
@@ -64,12 +113,16 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op7_source_mix": op7_source_mix,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_quality_rules": OP1_SQL,
+    "op2_minhash_dedup": OP2_SQL,
     "op4_line_dedup": OP4_SQL,
     "op7_source_mix": OP7_SQL,
 }
