@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, minhash_dedup, packing, quality_rules, source_mix
+from . import line_dedup, lm_scoring, minhash_dedup, packing, quality_rules, source_mix
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -86,6 +86,10 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"), folds=5, held_fold=1)
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix_sources(table(spark, sf_dir, "documents"), weights=(1, 2, 3), max_epochs=3).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -116,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_lm_scoring": op5_lm_scoring,
     "op7_source_mix": op7_source_mix,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
