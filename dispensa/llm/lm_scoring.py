@@ -28,6 +28,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,9 @@ from . import textvec as V
 from .common import chunk_count, materialize, with_chunk
 
 U = np.uint64
-DEPTH = 4
+DEPTH = 5
+#: Larger chunks repeat fewer sequences.
+CHUNK_BYTES = 12 << 20
 END, GAP = 10, 32
 SEQUENCE, WORD, DOCS = 0, 1, 2
 OFFERS = "chunk int, shard int, kind int, keys binary, counts binary"
@@ -74,6 +77,25 @@ def spelled(data: np.ndarray, off: np.ndarray, depth: int) -> tuple[np.ndarray,
     return key, np.repeat(np.arange(n), size - depth), V.hashes(data, starts, ends, V.LOWER), doc
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed planes of bytes (sorted keys: of their differences, which pack() is given)."""
+    planes = np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    return pack(np.diff(keys, prepend=U(0)))
+
+
+def unpack_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpack(raw), dtype=U)
+
+
 def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, with the sum of their counts."""
     if not keys:
@@ -104,8 +126,8 @@ def _offer(shards: int, depth: int):
             shard = (V.mix(key) % U(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-            rows += [(chunk, s, kind, key[i].tobytes(), count[i].astype("<u4").tobytes()) for s in range(shards) if len(i := order[cuts[s] : cuts[s + 1]])]
-        rows.append((chunk, 0, DOCS, b"", np.array([train.sum()], "<u4").tobytes()))
+            rows += [(chunk, s, kind, pack_keys(key[i]), pack(count[i])) for s in range(shards) if len(i := order[cuts[s] : cuts[s + 1]])]
+        rows.append((chunk, 0, DOCS, pack_keys(np.zeros(0, U)), pack(np.array([train.sum()]))))
         kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
         return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(zip(("chunk", "shard", "kind", "keys", "counts"), kinds, strict=True))})
 
@@ -114,16 +136,16 @@ def _offer(shards: int, depth: int):
 
 def _unpack(table: pa.Table, kind: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
     rows = zip(table.column("chunk").to_pylist(), table.column("kind").to_pylist(), table.column("keys").to_pylist(), table.column("counts").to_pylist(), strict=True)
-    return [(c, np.frombuffer(k, U), np.frombuffer(n, "<u4").astype(np.int64)) for c, found, k, n in rows if found == kind]
+    return [(c, unpack_keys(k), unpack(n).astype(np.int64)) for c, found, k, n in rows if found == kind]
 
 
 def _answer_words(table: pa.Table) -> pa.Table:
     """One shard: total counts to every chunk that has the word, and the shard's words and tokens as chunk -1."""
     offers = _unpack(table, WORD)
     key, count = _merge([k for _, k, _ in offers], [n for _, _, n in offers])
-    rows = [(c, WORD, k.tobytes(), count[np.searchsorted(key, k)].astype(np.float64).tobytes()) for c, k, _ in offers]
+    rows = [(c, WORD, pack_keys(k), pack(count[np.searchsorted(key, k)])) for c, k, _ in offers]
     docs = sum(int(n.sum()) for _, _, n in _unpack(table, DOCS))
-    rows.append((-1, DOCS, b"", np.array([(count > 0).sum(), count.sum(), docs], np.float64).tobytes()))
+    rows.append((-1, DOCS, b"", pack(np.array([(count > 0).sum(), count.sum(), docs]))))
     return _answers(rows)
 
 
@@ -279,7 +301,7 @@ def _answer_sequences(offers: pa.Table, prices: pa.Table) -> pa.Table:
     cost = np.concatenate([np.frombuffer(c) for c in prices.column("cost").to_pylist()] or [np.zeros(0)])
     order = np.argsort(key, kind="stable")
     key, cost = key[order], cost[order]
-    return _answers([(c, SEQUENCE, k.tobytes(), cost[np.searchsorted(key, k)].astype(np.float32).tobytes()) for c, k, _ in _unpack(offers, SEQUENCE)])
+    return _answers([(c, SEQUENCE, pack_keys(k), cost[np.searchsorted(key, k)].astype(np.float32).tobytes()) for c, k, _ in _unpack(offers, SEQUENCE)])
 
 
 def _score(depth: int, vocabulary: int, tokens: int, train_docs: int):
@@ -287,14 +309,14 @@ def _score(depth: int, vocabulary: int, tokens: int, train_docs: int):
 
     def book(answers: pa.Table, kind: int, dtype: type) -> tuple[np.ndarray, np.ndarray]:
         rows = [(k, v) for k, v, f in zip(answers.column("keys").to_pylist(), answers.column("values").to_pylist(), answers.column("kind").to_pylist(), strict=True) if f == kind]
-        key = np.concatenate([np.frombuffer(k, U) for k, _ in rows] or [np.zeros(0, U)])
-        value = np.concatenate([np.frombuffer(v, dtype) for _, v in rows] or [np.zeros(0, dtype)])
+        key = np.concatenate([unpack_keys(k) for k, _ in rows] or [np.zeros(0, U)])
+        value = np.concatenate([unpack(v) if dtype is np.uint64 else np.frombuffer(v, dtype) for _, v in rows] or [np.zeros(0, dtype)])
         order = np.argsort(key, kind="stable")
         return key[order], value[order].astype(np.float64)
 
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
         keys, cost = book(answers, SEQUENCE, np.float32)
-        words, counts = book(answers, WORD, np.float64)
+        words, counts = book(answers, WORD, np.uint64)
         word_cost, n = np.log10((counts + 0.5) / total), docs.num_rows
         out = {c: np.zeros(n) for c in ("tokens", "known", "bytes", "base", "score")}
         data, off = V.flat(docs.column("text"))
@@ -322,13 +344,13 @@ def score_documents(docs: DataFrame, folds: int = 5, held_fold: int = 1, depth:
     docs: doc_id, text.  Returns doc_id, held_out, n_tokens, n_known,
     train_tokens, n_bytes (spelled), base_score and score; -score * log2(10) /
     n_bytes is the code length per byte."""
-    n = chunk_count(docs)
+    n = chunk_count(docs, CHUNK_BYTES)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = with_chunk(rows.withColumn("held_out", F.crc32(key.cast("binary")) % folds == held_fold), n)
     offers = materialize(rows.groupBy("chunk").applyInArrow(_offer(n, depth), OFFERS), "offers")
     words = materialize(offers.where(f"kind <> {SEQUENCE}").groupBy("shard").applyInArrow(_answer_words, ANSWERS), "words")
-    totals = [np.frombuffer(r["values"], np.float64) for r in words.where("chunk = -1").select("values").toLocalIterator()]
+    totals = [unpack(r["values"]) for r in words.where("chunk = -1").select("values").toLocalIterator()]
     vocabulary, tokens, train_docs = (int(sum(t[i] for t in totals)) for i in range(3))
     if train_docs:  # the end is a token too
         vocabulary, tokens = vocabulary + 1, tokens + train_docs
