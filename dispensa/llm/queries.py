@@ -4,12 +4,13 @@ Each gets its rows from its operator and only derives the columns of its contrac
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, lm_scoring, minhash_dedup, packing, quality_rules, source_mix
+from . import chat_format, line_dedup, lm_scoring, media_ts, minhash_dedup, packing, quality_rules, source_mix, toxicity, warc
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -67,6 +68,11 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT v, min(root) AS compone
 """
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score_documents(docs, labels, folds=5, held_fold=0).select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"), least=10).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
@@ -90,6 +96,29 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(table(spark, sf_dir, "documents"), folds=5, held_fold=1)
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ok = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-1, 0, "user", ok), (-1, 1, "assistant", ok)], "conv_id long, turn long, role string, text string")
+    path = public_tokenizers.path(TOKENIZER)
+    read = chat_format.read_conversations(chat_format.format_conversations(turns.unionByName(planted), path), path)
+    return read.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+_MARKED = "|".join(re.escape(c[0]) + r"\\*" + re.escape(c[1:]) for c in chat_format.CONTROL)
+OP6_SQL = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+c AS (SELECT *, {len(chat_format.TURN + chat_format.TEXT + chat_format.END)} + length(role) + length(text)
+        + len(regexp_extract_all(role, '{_MARKED}')) + len(regexp_extract_all(text, '{_MARKED}')) AS chars FROM t)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix_sources(table(spark, sf_dir, "documents"), weights=(1, 2, 3), max_epochs=3).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -116,18 +145,42 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), capacity=2048, end_id=0)
 
 
+def op9_media_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_ts.media_features(media_ts.store_media(table(spark, sf_dir, "documents")))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archives(spark, warc.write_archives(table(spark, sf_dir, "pages"), min_bytes=0))
+
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS newest,
+             list_transform(range(8), lambda i: ('0x' || substr(h, i * 5 + 1, 5))::INT) AS g FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (g[k // 4 + 1] >> (15 - 5 * (k % 4))) % 32 + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> newest THEN newest END AS refers_to
+FROM d
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op5_lm_scoring": op5_lm_scoring,
+    "op6_chat_format": op6_chat_format,
     "op7_source_mix": op7_source_mix,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_media_ts": op9_media_ts,
+    "op10_warc": op10_warc,
 }
 
 ORACLES: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
     "op2_minhash_dedup": OP2_SQL,
     "op4_line_dedup": OP4_SQL,
+    "op6_chat_format": OP6_SQL,
     "op7_source_mix": OP7_SQL,
+    "op10_warc": OP10_SQL,
 }
