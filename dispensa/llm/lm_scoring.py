@@ -38,7 +38,7 @@ from .common import chunk_count, materialize, with_chunk
 U = np.uint64
 DEPTH = 5
 #: Larger chunks repeat fewer sequences.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 END, GAP = 10, 32
 SEQUENCE, WORD, DOCS = 0, 1, 2
 OFFERS = "chunk int, shard int, kind int, keys binary, counts binary"

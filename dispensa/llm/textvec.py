@@ -16,7 +16,7 @@ U = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Bytes handled in one slice: bounds the temporary arrays (about 8 bytes each).
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 2 << 20
 
 _rng = np.random.default_rng(20240607)
 RAW = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
