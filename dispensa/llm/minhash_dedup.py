@@ -14,8 +14,7 @@ Groups of copies are never expanded.  Sets that are equal are one.  Of a node,
 first a forest is tested: every set against a central one (the set that agrees
 best with the majority of the node).  Pairs that are connected already are not
 looked at again; only pairs between different components are compared further,
-a few best ones between each two components first, until none is left untested.
-Nodes that stay large at full depth are compared block by block, without a cap.
+each in the first node where it meets.  Nodes that stay large at full depth are compared block by block, without a cap.
 
 Shingles: five words [^\\x20\\x09-\\x0D]+ after A-Z are lower-cased; fewer words
 are one shingle; sets compare 64-bit hashes.  Null and empty texts have no set,
@@ -39,14 +38,14 @@ from . import textvec as V
 from .common import materialize
 
 U = np.uint64
-COORDS = 128
+COORDS = 192
 TREES = 16
-LIMIT = 400
+LIMIT = 4096
 DEPTH = 10
 #: One in so many nodes below the first level picks two tokens: about 1 / 0.85 - 1.
 EXTRA = 6
 #: A sketch agrees by s +- sqrt(s (1 - s) / COORDS); candidates may lie this many deviations below the threshold.
-DEVIATIONS = 5.0
+DEVIATIONS = 4.5
 CENTRES = 3
 
 _rng = np.random.default_rng(77)
@@ -57,7 +56,6 @@ SETS = "doc_id long, set_id long, shingles array<long>"
 EDGES = "a long, b long"
 #: Members of nodes that one task handles together, and of one node that share their centres.
 TOGETHER = 20_000
-EVERY = 1 << 62
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -159,21 +157,21 @@ def _star(ids: np.ndarray, sketch: np.ndarray, least: float) -> list[tuple[int,
     return pairs
 
 
-def _across(ids: np.ndarray, sketch: np.ndarray, label: np.ndarray, side: np.ndarray, least: float, best: int) -> list[tuple[int, int]]:
-    """Candidates of one small node (or pair of blocks) between different components: the `best` most alike of each two components."""
+def _across(ids: np.ndarray, sketch: np.ndarray, label: np.ndarray, side: np.ndarray, level: np.ndarray, small: np.ndarray, tokens: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Candidates of one small node (or pair of blocks) between different components.
+
+    A pair that also meets in a small first-level node of an earlier tree (for
+    deeper nodes: of any tree) is left to that node."""
     others, found = np.flatnonzero(side != 0), []
+    mask = small.astype(np.int64) & ((np.int64(1) << level) - 1)
+    bits = (mask[:, None] >> np.arange(TREES)) & 1
     for i in np.flatnonzero(side != 1):
         of = others[(label[others] != label[i]) & ((side[others] != 2) | (others > i))]
-        same = _agree(sketch[i], sketch[of])
-        hit = same >= least
-        found += [(-s, ids[i], ids[j], min(label[i], label[j]), max(label[i], label[j])) for j, s in zip(of[hit], same[hit], strict=True)]
-    taken: dict[tuple[int, int], int] = {}
-    out = []
-    for _, a, b, la, lb in sorted(found):
-        if taken.get((la, lb), 0) < best:
-            taken[la, lb] = taken.get((la, lb), 0) + 1
-            out.append((a, b))
-    return out
+        of = of[_agree(sketch[i], sketch[of]) >= least]
+        if len(of):
+            met = ((tokens[of] == tokens[i]) & (bits[i] > 0)).any(axis=1)
+            found += [(ids[i], j) for j in ids[of[~met]]]
+    return found
 
 
 def _each_node(members: DataFrame, candidates) -> DataFrame:
@@ -186,7 +184,9 @@ def _each_node(members: DataFrame, candidates) -> DataFrame:
         node, part, ids = (table.column(c).to_numpy() for c in ("node", "part", "set_id"))
         order = np.lexsort((ids, part, node))
         node, part, ids, sketch = node[order], part[order], ids[order], _matrix(table.column("sketch"))[order]
-        more = [table.column(c).to_numpy()[order] for c in ("label", "side")] if labelled else []
+        more = [table.column(c).to_numpy()[order] for c in ("label", "side", "level", "small")] if labelled else []
+        if labelled:
+            more.append(np.frombuffer(b"".join(table.column("tokens").to_pylist()), "<u4").reshape(-1, TREES)[order])
         cut = np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (part[1:] != part[:-1]), True])
         pairs: set[tuple[int, int]] = set()
         for a, b in zip(cut[:-1], cut[1:], strict=True):
@@ -280,8 +280,8 @@ def near_links(docs: DataFrame, words: int, num: int, den: int, limit: int = LIM
     least = s - DEVIATIONS * (s * (1 - s) / COORDS) ** 0.5
 
     # First level: one minwise token for each tree.  Every node's centres are tried on its members.
-    first = firsts.select("set_id", F.posexplode("tokens").alias("tree", "token")).select("set_id", F.xxhash64("tree", "token").alias("node"))
-    crowd = materialize(_crowded(first).join(firsts.select("set_id", "sketch"), "set_id").select("node", "set_id", "sketch", "size"), "nodes")
+    first = firsts.select("set_id", F.posexplode("tokens").alias("tree", "token")).select("set_id", "tree", F.xxhash64("tree", "token").alias("node"))
+    crowd = materialize(_crowded(first).join(firsts.select("set_id", "sketch"), "set_id").select("node", "set_id", "sketch", "tree", "size"), "nodes")
     part = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("size") / TOGETHER))
     tried = materialize(_each_node(crowd.withColumn("part", part), lambda ids, sketch: _star(ids, sketch, least)), "tried")
     links = _confirm(tried, rows, firsts, words, num, den)
@@ -289,31 +289,25 @@ def near_links(docs: DataFrame, words: int, num: int, den: int, limit: int = LIM
 
     # Further levels: large nodes branch on, as long as they hold sets that aren't connected yet.
     nodes = _mixed(_labelled(crowd, labels))
-    small, large = nodes.where(F.col("size") <= limit), materialize(nodes.where(F.col("size") > limit), "large")
+    small = nodes.where(F.col("size") <= limit).select("node", "set_id", "sketch", "label", F.col("tree").alias("level"))
+    large = materialize(nodes.where(F.col("size") > limit).select("node", "set_id", "sketch", "label", "size"), "large")
     for level in range(2, depth + 1):
         if large.isEmpty():
             break
         moved = large.select("node", "set_id", "sketch", "label").mapInArrow(_children(level), "node long, set_id long, sketch binary, label long")
         nodes = materialize(_crowded(_mixed(moved)).select("node", "set_id", "sketch", "label", "size"), "nodes")
-        small = small.unionByName(nodes.where(F.col("size") <= limit).select(small.columns))
+        small = small.unionByName(nodes.where(F.col("size") <= limit).select("node", "set_id", "sketch", "label", F.lit(TREES).alias("level")))
         large = nodes.where(F.col("size") > limit)
-    small, large = materialize(small, "small"), _blocks(large, limit)
-    parts = small.select("node", "set_id", "sketch", F.lit(2).alias("side"), F.lit(0).cast("long").alias("part")).unionByName(large)
+    parts = small.withColumns({"side": F.lit(2), "part": F.lit(0).cast("long")}).unionByName(_blocks(large, limit))
 
-    best = 3
-    while True:
-        open_ = materialize(_mixed(_labelled(parts, labels)), "open")
-        fresh = _each_node(open_, lambda ids, sketch, label, side, best=best: _across(ids, sketch, label, side, least, best))
-        fresh = materialize(fresh.join(tried, ["a", "b"], "left_anti"), "fresh")
-        if fresh.isEmpty():
-            if best is EVERY:
-                return signed.select("doc_id", "n_shingles", "set_id"), labels
-            best = EVERY  # nothing new among the best: look at all that are left
-            continue
-        tried = materialize(tried.unionByName(fresh), "tried")
-        links = materialize(links.unionByName(_confirm(fresh, rows, firsts, words, num, den)), "links")
-        labels = materialize(components(links), "labels")
-        best = EVERY if best is EVERY else best * 8
+    # All pairs of small nodes between components that aren't connected yet, each in the first node where it meets.
+    met = crowd.where(F.col("size") <= limit).groupBy("set_id").agg(F.expr("bit_or(shiftleft(1, tree))").alias("small"))
+    packed = firsts.select("set_id", F.unhex(F.array_join(F.transform("tokens", lambda t: F.substring(F.lpad(F.hex(t), 16, "0"), 9, 8)), "")).alias("tokens"))
+    open_ = parts.join(packed.join(met, "set_id", "left").withColumn("small", F.coalesce("small", F.lit(0))), "set_id")
+    fresh = _each_node(open_, lambda *node: _across(*node, least))
+    fresh = materialize(fresh.join(tried, ["a", "b"], "left_anti"), "fresh")
+    links = links.unionByName(_confirm(fresh, rows, firsts, words, num, den))
+    return signed.select("doc_id", "n_shingles", "set_id"), materialize(components(links), "labels")
 
 
 def _blocks(large: DataFrame, limit: int) -> DataFrame:
@@ -323,7 +317,7 @@ def _blocks(large: DataFrame, limit: int) -> DataFrame:
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     side = F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1)
     part = F.least("mine", "other").cast("long") * (1 << 31) + F.greatest("mine", "other") + 1
-    return rows.select("node", "set_id", "sketch", side.alias("side"), part.alias("part"))
+    return rows.select("node", "set_id", "sketch", "label", F.lit(TREES).alias("level"), side.alias("side"), part.alias("part"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, keep: list[str] | None = None) -> DataFrame:
