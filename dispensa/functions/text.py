@@ -113,7 +113,8 @@ def extract_lab_canonical(c: Column) -> Column:
     """As extract_lab, with a known name between pipes in its standard spelling."""
     text = text_or_empty(c)
     part = _second_part(text)
-    known = F.coalesce(*[F.when(part == k, F.lit(v)) for k, v in voc.LAB_KEYWORDS.items()], part)
+    table = F.create_map(*[F.lit(x) for pair in voc.LAB_KEYWORDS.items() for x in pair])
+    known = F.coalesce(F.try_element_at(table, part), part)
     return F.when(part != "", known).otherwise(_keyword_lab(text))
 
 
