@@ -27,7 +27,6 @@ STOP_WORDS = {
     "de": "der die das und in den von zu mit sich des auf für ist im dem nicht ein eine als auch es an er",
     "es": "el la los las de del y en un una que es por con para se no su al lo como más o",
 }
-SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
 
@@ -54,32 +53,40 @@ RULES = (
 
 
 def _count_chars(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+    """Characters of a class that is rare in texts."""
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{chars}]+", ""))
+
+
+#: Up to so many distinct repeated windows are looked up one by one; beyond that windows are sorted with their positions.
+FEW = 64
 
 
 def _with_repeated_words(rows: DataFrame) -> DataFrame:
     """Adds n_repeat_words: words inside three-word windows that are found twice or more.
 
-    The windows' hashes are sorted with their positions, so that equal ones are
-    neighbours; a window's words that its left neighbour in the text does not
-    cover already are counted: n log n steps, and no pair of windows is formed.
-    Each step is a column of its own, as a lambda would evaluate it anew for every element."""
-    hashed = F.transform(
-        F.when(F.size("words") >= 3, F.sequence(F.lit(0), F.size("words") - 3)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.struct(F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)).alias("h"), i.alias("i")),
-    )
-    rows = rows.withColumn("windows", F.sort_array(hashed))
-    twice = F.filter(
-        "windows",
-        lambda w, k: F.coalesce(w["h"] == F.get("windows", k - 1)["h"], F.lit(False)) | F.coalesce(w["h"] == F.get("windows", k + 1)["h"], F.lit(False)),
-    )
+    The windows' hashes are sorted, so that equal ones are neighbours, and the
+    positions of the repeated ones are collected; a window's words that its left
+    neighbour in the text does not cover already are counted.  That takes n log n
+    steps, and no pair of windows is formed.  Each step is a column of its own,
+    as a lambda would evaluate it anew for every element."""
+    rows = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    inner = F.slice("hashes", 1, F.greatest(F.size("hashes") - 2, F.lit(0)))
+    rows = rows.withColumn("windows", F.transform(inner, lambda h, i: F.xxhash64(h, F.get("hashes", i + 1), F.get("hashes", i + 2)))).drop("hashes")
+    rows = rows.withColumn("ordered", F.sort_array("windows"))
+    rows = rows.withColumn("twice", F.array_distinct(F.filter("ordered", lambda h, k: F.coalesce(h == F.get("ordered", k - 1), F.lit(False))))).drop("ordered")
+    placed = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    none = F.filter(placed, lambda _: F.lit(False))
+    rows = rows.withColumn("placed", F.when(F.size("twice") > FEW, placed).otherwise(none))
+    found = F.filter("placed", lambda w, k: F.coalesce(w["h"] == F.get("placed", k - 1)["h"], F.lit(False)) | F.coalesce(w["h"] == F.get("placed", k + 1)["h"], F.lit(False)))
+    one_by_one = F.filter(F.transform("windows", lambda h, i: F.when(F.array_contains("twice", h), i)), lambda i: i.isNotNull())
+    positions = F.when(F.size("twice") > FEW, F.sort_array(F.transform(found, lambda w: w["i"]))).when(F.size("twice") > 0, one_by_one).otherwise(F.array().cast("array<int>"))
     covered = F.aggregate(
-        F.sort_array(F.transform(twice, lambda w: w["i"])),
+        positions,
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(-9).alias("last")),
         lambda s, i: F.struct((s["n"] + F.least(F.lit(3), i - s["last"]).cast("long")).alias("n"), i.alias("last")),
         lambda s: s["n"],
     )
-    return rows.withColumn("n_repeat_words", covered).drop("windows")
+    return rows.withColumn("n_repeat_words", covered).drop("windows", "placed", "twice")
 
 
 def judge_quality(docs: DataFrame, rules: Sequence[Rule] = RULES, keep: list[str] | None = None) -> DataFrame:
@@ -94,13 +101,13 @@ def judge_quality(docs: DataFrame, rules: Sequence[Rule] = RULES, keep: list[str
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").alias("doc_id"), *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(extra)], text.alias("t"))
     rows = rows.withColumn("words", F.filter(F.split("t", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-    rows = rows.withColumn("lines", F.filter(F.split("t", "\n", -1), lambda x: F.length(F.translate(x, SPACES, "")) > 0))
+    rows = rows.withColumn("lines", F.filter(F.split("t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     rows = _with_repeated_words(rows)
     n, n_lines = F.size("words"), F.size("lines")
     rows = rows.select(
         "doc_id", *[f"keep_{i}" for i in range(len(extra))],
         n.cast("long").alias("n_words"),
-        (F.length("t") - _count_chars(F.col("t"), SPACES)).cast("long").alias("word_chars"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         _count_chars(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
         (n_lines - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
@@ -108,7 +115,7 @@ def judge_quality(docs: DataFrame, rules: Sequence[Rule] = RULES, keep: list[str
         n_lines.alias("n_lines"),
         F.size(F.filter("lines", lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith("…"))).alias("n_ellipsis"),
         F.size(F.filter("lines", lambda x: F.substring(F.ltrim(x), 1, 1).isin("-", "*", "•", "·", "–"))).alias("n_bullet"),
-        _count_chars(F.col("t"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("n_upper"),
+        _count_chars(F.col("t"), "A-Z").alias("n_upper"),
     )
 
     def ratio(a: str, b: str) -> Column:
