@@ -6,9 +6,10 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of a to b (the order of arguments matters)."""
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)])
@@ -17,7 +18,7 @@ def block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 def close_ratio(cutoff: float):
     """As block_ratio(candidate, word), null below the cutoff; upper bounds spare most comparisons."""
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def ratio(candidate: pd.Series, word: pd.Series) -> pd.Series:
         out, matcher, last = [], SequenceMatcher(), None
         for x, y in zip(candidate, word, strict=True):
@@ -46,7 +47,7 @@ def _common(a: str, b: str) -> int:
     return len(a) - open_.bit_count()
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Similarity by insertions and deletions, 0 to 100."""
     return pd.Series([None if x is None or y is None else 100.0 if not x + y else 200.0 * _common(x, y) / (len(x) + len(y)) for x, y in zip(a, b, strict=True)], dtype="float64")

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import vocabulary as voc
 
@@ -40,19 +41,19 @@ def remove_accents(c: Column) -> Column:
     return F.regexp_replace(F.translate(text_or_empty(c), _FROM, _TO), r"\p{M}", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def remove_accents_full(s: pd.Series) -> pd.Series:
     """As remove_accents for every script (compatibility decomposition)."""
     return s.fillna("").map(lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def compose_compatible(s: pd.Series) -> pd.Series:
     """Compatibility composition (NFKC)."""
     return s.fillna("").map(lambda t: unicodedata.normalize("NFKC", t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def casefold(s: pd.Series) -> pd.Series:
     return s.fillna("").str.casefold()
 
