@@ -7,25 +7,27 @@ gives WARC-Segment-Total-Length.  Of pages with equal payloads of at least
 min_bytes, that with the largest page_id is stored (response); the others refer
 to it (revisit) and keep their HTTP header alone.
 
-Archives are plain .warc files in the shared folder, written by Spark with the
+Archives are compressed files in the shared folder, written by Spark with the
 record separator as line separator and at most RECORDS_PER_FILE records each.
-Reading takes them as binary files, parses records by Content-Length, groups
-continuations by origin, orders them by segment number, verifies the total
-length and decodes the chunks.
+Reading takes them as binary files and parses records by Content-Length.  A
+record without continuations is decoded on the spot; segments are grouped by
+origin and ordered by segment number, their total length is verified, and the
+chunks are decoded.
 
 Null pages are empty payloads.  A null page_id counts as smaller than any other.
-Repeated rows of one page_id and payload have the same type: they are told apart
-by a running number.  An empty table gives an empty result.  Extra columns are
+Repeated rows of one page_id and payload have the same type: record ids carry a
+number that tells rows apart.  An empty table gives an empty result.  Extra columns are
 ignored."""
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import scratch_path
@@ -37,7 +39,7 @@ RECORDS_PER_FILE = 1_000
 DATE = "2024-01-01T00:00:00Z"
 HASHED = "page_id long, url string, payload binary, n long, digest string"
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-PARTS = "origin string, number long, total long, kind string, page_id long, refers_to long, digest string, body binary"
+PARTS = "origin string, number long, total long, kind string, page_id long, refers_to long, digest string, size long, body binary"
 
 
 def payload_digest(payload: bytes) -> str:
@@ -78,14 +80,14 @@ def page_of_uri(uri: str) -> int | None:
     return None if number == "null" else int(number)
 
 
-def page_records(page: int | None, n: int, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> list[bytes]:
+def page_records(page: int | None, n: int, url: str | None, payload: bytes, refers_to: int | None, refers_n: int | None, revisit: bool) -> list[bytes]:
     """All records of a page: a revisit, or a response and its continuations."""
     me, digest = page_id_uri(page, n), f"sha1:{payload_digest(payload)}"
     target = [("WARC-Target-URI", (url or "").replace("\r", "%0D").replace("\n", "%0A")), ("WARC-Payload-Digest", digest)]
     if revisit:
         http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Length: %d\r\n\r\n" % len(payload)
         profile = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-        return [record("revisit", me, [*target, ("WARC-Profile", profile), ("WARC-Refers-To", f"<{page_id_uri(refers_to, 0)}>"), ("Content-Type", "application/http; msgtype=response")], http)]
+        return [record("revisit", me, [*target, ("WARC-Profile", profile), ("WARC-Refers-To", f"<{page_id_uri(refers_to, refers_n or 0)}>"), ("Content-Type", "application/http; msgtype=response")], http)]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked(payload)
     parts = [http[a : a + SEGMENT_BYTES] for a in range(0, len(http), SEGMENT_BYTES)]
     kind = [("Content-Type", "application/http; msgtype=response")]
@@ -126,7 +128,7 @@ def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("page_id", "n", "url", "payload", "refers_to", "revisit")]
+        columns = [batch.column(c).to_pylist() for c in ("page_id", "n", "url", "payload", "refers_to", "refers_n", "revisit")]
         out = [r for row in zip(*columns, strict=True) for r in page_records(*row)]
         for a in range(0, len(out), 256):
             yield pa.RecordBatch.from_arrays([pa.array(out[a : a + 256], pa.binary())], names=["record"])
@@ -136,38 +138,48 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, path: str | None = None
     """Writes pages (page_id, url, html) as WARC files and returns their folder."""
     path = path or scratch_path(pages.sparkSession, "warc")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    repeats = Window.partitionBy("page_id").orderBy("url", F.xxhash64("html"))
-    numbered = rows.withColumn("n", F.row_number().over(repeats).cast("long") - 1)
-    hashed = numbered.mapInArrow(_hash, HASHED)
+    hashed = rows.withColumn("n", F.monotonically_increasing_id()).mapInArrow(_hash, HASHED)
     long_enough = F.length("payload") >= min_bytes
     # one row per payload that several pages share, summed up before the shuffle
-    shared = hashed.where(long_enough).groupBy("digest").agg(F.max("page_id").alias("newest"), F.count("*").alias("copies")).where("copies > 1")
+    newest = F.max(F.struct("page_id", "n")).alias("newest")
+    shared = hashed.where(long_enough).groupBy("digest").agg(newest, F.count("*").alias("copies")).where("copies > 1")
     marked = hashed.join(shared, "digest", "left")
-    revisit = F.col("newest").isNotNull() & long_enough & ~F.col("page_id").eqNullSafe(F.col("newest"))
-    marked = marked.select("page_id", "n", "url", "payload", F.when(revisit, F.col("newest")).alias("refers_to"), revisit.alias("revisit"))
+    revisit = F.col("newest").isNotNull() & long_enough & ~F.col("page_id").eqNullSafe(F.col("newest.page_id"))
+    marked = marked.select("page_id", "n", "url", "payload", F.when(revisit, F.col("newest.page_id")).alias("refers_to"), F.when(revisit, F.col("newest.n")).alias("refers_n"), revisit.alias("revisit"))
     text = marked.mapInArrow(_write, "record binary").select(F.col("record").cast("string").alias("value"))
-    text.write.option("lineSep", END.decode()).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    text.write.option("lineSep", END.decode()).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path, compression="gzip")
     return path
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [f.split()[0] for f in PARTS.split(", ")]
-    types = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+    types = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary())
     for batch in batches:
         for item in batch.column("content"):
             rows = []
-            for head, block in records(item.as_py()):
+            for head, block in records(gzip.decompress(item.as_py())):
                 kind = head["warc-type"]
                 origin = head.get("warc-segment-origin-id", head["warc-record-id"])
                 number = int(head.get("warc-segment-number", 0))
                 refers = head.get("warc-refers-to")
                 total = head.get("warc-segment-total-length")
                 digest = head.get("warc-payload-digest", "").removeprefix("sha1:")
-                rows.append((origin, number, None if total is None else int(total), kind, page_of_uri(origin), page_of_uri(refers) if refers else None, digest, block))
+                size = None
+                if not number:  # complete: only its figures go on
+                    size, block = verified(block, digest), b""
+                rows.append((origin, number, None if total is None else int(total), kind, page_of_uri(origin), page_of_uri(refers) if refers else None, digest, size, block))
             for a in range(0, len(rows), 256):
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[a : a + 256]], t) for i, t in enumerate(types)], names=names)
 
 
+def verified(block: bytes, digest: str) -> int:
+    """Payload length of a whole HTTP message whose payload has the digest."""
+    payload, size = http_payload(block)
+    if payload is not None and payload_digest(payload) != digest:
+        raise ValueError("a payload's digest differs")
+    return size
+
+
 def whole(parts: list[tuple[int, int | None, bytes]]) -> bytes:
     """The block of segments (number, total length or None, bytes): ordered, gapless and of the stated length."""
     parts = sorted(parts, key=lambda p: p[0])
@@ -197,9 +209,7 @@ def _join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not held:
             return None
         first = held[0]
-        payload, size = http_payload(whole([(r["number"], r["total"], r["body"]) for r in held]))
-        if payload is not None and payload_digest(payload) != first["digest"]:
-            raise ValueError("a payload's digest differs")
+        size = first["size"] if not first["number"] else verified(whole([(r["number"], r["total"], r["body"]) for r in held]), first["digest"])
         row = (first["page_id"], size, first["digest"], first["kind"], first["refers_to"])
         held.clear()
         return row
