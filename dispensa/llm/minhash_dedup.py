@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,6 @@ _rng = np.random.default_rng(77)
 _XOR = _rng.integers(0, 2**64, COORDS, dtype=np.uint64)
 _ODD = _rng.integers(0, 2**63, COORDS, dtype=np.uint64) * U(2) + U(1)
 SIGNED = "doc_id long, n_shingles long, set_id long, sketch binary, tokens array<long>"
-SETS = "doc_id long, set_id long, shingles array<long>"
 EDGES = "a long, b long"
 #: Members of nodes that one task handles together, and of one node that share their centres.
 TOGETHER = 20_000
@@ -113,12 +113,13 @@ def _sign(words: int):
     return sign
 
 
-def _sets(words: int):
+def _sets(words: int, packed: bool):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = list(shingle_sets(batch.column("text"), words))
             names = pa.array([set_id(s) for s in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), names, pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], names=["doc_id", "set_id", "shingles"])
+            shingles = pa.array([s.tobytes() for s in found], pa.binary()) if packed else pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), names, shingles], names=["doc_id", "set_id", "shingles"])
 
     return sets
 
@@ -151,34 +152,80 @@ def _star(ids: np.ndarray, sketch: np.ndarray, least: float) -> list[tuple[int,
         centre = _centre(sketch[left]) if len(left) > 2 else 0
         near = _agree(sketch[left[centre]], sketch[left]) >= least
         near[centre] = False
-        pairs += [(ids[left[centre]], i) for i in ids[left[near]]]
+        pairs += [(int(min(ids[left[centre]], i)), int(max(ids[left[centre]], i))) for i in ids[left[near]]]
         near[centre] = True
         left = left[~near]
     return pairs
 
 
-def _across(ids: np.ndarray, sketch: np.ndarray, label: np.ndarray, side: np.ndarray, level: np.ndarray, small: np.ndarray, tokens: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """Candidates of one small node (or pair of blocks) between different components.
-
-    A pair that also meets in a small first-level node of an earlier tree (for
-    deeper nodes: of any tree) is left to that node."""
-    others, found = np.flatnonzero(side != 0), []
-    mask = small.astype(np.int64) & ((np.int64(1) << level) - 1)
-    bits = (mask[:, None] >> np.arange(TREES)) & 1
-    for i in np.flatnonzero(side != 1):
-        of = others[(label[others] != label[i]) & ((side[others] != 2) | (others > i))]
-        of = of[_agree(sketch[i], sketch[of]) >= least]
-        if len(of):
-            met = ((tokens[of] == tokens[i]) & (bits[i] > 0)).any(axis=1)
-            found += [(ids[i], j) for j in ids[of[~met]]]
-    return found
+@dataclass
+class Node:
+    """Members of one node (or pair of blocks), as arrays in one order."""
+
+    ids: np.ndarray
+    sketch: np.ndarray
+    label: np.ndarray | None = None
+    side: np.ndarray | None = None
+    level: np.ndarray | None = None
+    small: np.ndarray | None = None
+    tokens: np.ndarray | None = None
+    sets: list | None = None  # sorted shingles of each
+
+    def pairs(self, least: float) -> Iterator[tuple[int, np.ndarray]]:
+        """(member, others) that may be linked, are of different components, and don't
+        meet in a small first-level node of an earlier tree (for deeper nodes: of any
+        tree), to which such a pair is left."""
+        others = np.flatnonzero(self.side != 0)
+        bits = ((self.small.astype(np.int64) & ((np.int64(1) << self.level) - 1))[:, None] >> np.arange(TREES)) & 1
+        for i in np.flatnonzero(self.side != 1):
+            of = others[(self.label[others] != self.label[i]) & ((self.side[others] != 2) | (others > i))]
+            of = of[_agree(self.sketch[i], self.sketch[of]) >= least]
+            if len(of):
+                met = ((self.tokens[of] == self.tokens[i]) & (bits[i] > 0)).any(axis=1)
+                if not met.all():
+                    yield i, of[~met]
+
+
+def _involved(node: Node, least: float) -> list[tuple]:
+    """Members with any candidate."""
+    hit = np.zeros(len(node.ids), bool)
+    for i, of in node.pairs(least):
+        hit[i] = True
+        hit[of] = True
+    return [(int(x),) for x in np.unique(node.ids[hit])]
+
+
+def _linked(node: Node, least: float, num: int, den: int) -> list[tuple]:
+    """Links confirmed on full sets: at most enough to connect the components that are linked here."""
+    root = {int(x): int(x) for x in np.unique(node.label)}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    out = []
+    for i, of in node.pairs(least):
+        a = node.sets[i]
+        for j in of:
+            x, y = find(int(node.label[i])), find(int(node.label[j]))
+            if x == y:
+                continue
+            b = node.sets[j]
+            if num * max(len(a), len(b)) > den * min(len(a), len(b)):
+                continue
+            common = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+            if den * common >= num * (len(a) + len(b) - common):
+                root[max(x, y)] = min(x, y)
+                out.append((int(min(node.ids[i], node.ids[j])), int(max(node.ids[i], node.ids[j]))))
+    return out
 
 
-def _each_node(members: DataFrame, candidates) -> DataFrame:
-    """Candidates of every (node, part): many nodes share a task, none is split."""
+def _each_node(members: DataFrame, handle_node, result: str, where: bool = False) -> DataFrame:
+    """Rows that handle_node makes of every (node, part), with these if `where`: many nodes share a task, none is split."""
     spark = members.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), members.count() // TOGETHER)
-    labelled = "label" in members.columns
+    labelled, full = "label" in members.columns, "shingles" in members.columns
 
     def handle(table: pa.Table) -> pa.Table:
         node, part, ids = (table.column(c).to_numpy() for c in ("node", "part", "set_id"))
@@ -187,23 +234,32 @@ def _each_node(members: DataFrame, candidates) -> DataFrame:
         more = [table.column(c).to_numpy()[order] for c in ("label", "side", "level", "small")] if labelled else []
         if labelled:
             more.append(np.frombuffer(b"".join(table.column("tokens").to_pylist()), "<u4").reshape(-1, TREES)[order])
+        raw = table.column("shingles").to_pylist() if full else []
+        sets = [np.frombuffer(raw[k], U) for k in order] if full else []
         cut = np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (part[1:] != part[:-1]), True])
-        pairs: set[tuple[int, int]] = set()
+        out: set[tuple] = set()
         for a, b in zip(cut[:-1], cut[1:], strict=True):
-            for x, y in candidates(ids[a:b], sketch[a:b], *[m[a:b] for m in more]):
-                pairs.add((int(min(x, y)), int(max(x, y))))
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+            found = handle_node(Node(ids[a:b], sketch[a:b], *[m[a:b] for m in more], **({"sets": sets[a:b]} if full else {})))
+            out.update((int(node[a]), int(part[a]), *row) for row in found) if where else out.update(found)
+        names = ["node", "part"] * where + [f.split()[0] for f in result.split(", ")]
+        rows = list(out)
+        return pa.table({name: pa.array([r[k] for r in rows], pa.int64()) for k, name in enumerate(names)})
 
     dealt = members.withColumn("deal", F.pmod(F.xxhash64("node", "part"), F.lit(n)))
-    return dealt.groupBy("deal").applyInArrow(handle, EDGES).where("a <> b").distinct()
+    return dealt.groupBy("deal").applyInArrow(handle, "node long, part long, " * where + result)
+
+
+def _wanted_sets(wanted: DataFrame, docs: DataFrame, firsts: DataFrame, words: int, packed: bool) -> DataFrame:
+    """set_id, shingles (an array, or its sorted bytes) of the wanted sets, taken anew from the texts."""
+    wanted = wanted.select("set_id").distinct().join(firsts.select("set_id", "doc_id"), "set_id")
+    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    sets = texts.mapInArrow(_sets(words, packed), f"doc_id long, set_id long, shingles {'binary' if packed else 'array<long>'}").join(wanted, ["set_id", "doc_id"], "left_semi").dropDuplicates(["set_id"])
+    return materialize(sets.select("set_id", "shingles"), "shingles")
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs with similarity num / den or more on full sets."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(firsts.select("set_id", "doc_id"), "set_id")
-    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = texts.mapInArrow(_sets(words), SETS).join(wanted, ["set_id", "doc_id"], "left_semi").dropDuplicates(["set_id"])
-    sets = materialize(sets.select("set_id", "shingles"), "shingles")
+    sets = _wanted_sets(pairs.select(F.explode(F.array("a", "b")).alias("set_id")), docs, firsts, words, packed=False)
     a, b = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(a, "a").join(b, "b").withColumn("common", F.size(F.array_intersect("x", "y")))
     alike = den * F.col("common") >= num * (F.size("x") + F.size("y") - F.col("common"))
@@ -283,7 +339,7 @@ def near_links(docs: DataFrame, words: int, num: int, den: int, limit: int = LIM
     first = firsts.select("set_id", F.posexplode("tokens").alias("tree", "token")).select("set_id", "tree", F.xxhash64("tree", "token").alias("node"))
     crowd = materialize(_crowded(first).join(firsts.select("set_id", "sketch"), "set_id").select("node", "set_id", "sketch", "tree", "size"), "nodes")
     part = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("size") / TOGETHER))
-    tried = materialize(_each_node(crowd.withColumn("part", part), lambda ids, sketch: _star(ids, sketch, least)), "tried")
+    tried = materialize(_each_node(crowd.withColumn("part", part), lambda x: _star(x.ids, x.sketch, least), EDGES).where("a <> b").distinct(), "tried")
     links = _confirm(tried, rows, firsts, words, num, den)
     labels = materialize(components(links), "labels")
 
@@ -304,9 +360,10 @@ def near_links(docs: DataFrame, words: int, num: int, den: int, limit: int = LIM
     met = crowd.where(F.col("size") <= limit).groupBy("set_id").agg(F.expr("bit_or(shiftleft(1, tree))").alias("small"))
     packed = firsts.select("set_id", F.unhex(F.array_join(F.transform("tokens", lambda t: F.substring(F.lpad(F.hex(t), 16, "0"), 9, 8)), "")).alias("tokens"))
     open_ = parts.join(packed.join(met, "set_id", "left").withColumn("small", F.coalesce("small", F.lit(0))), "set_id")
-    fresh = _each_node(open_, lambda *node: _across(*node, least))
-    fresh = materialize(fresh.join(tried, ["a", "b"], "left_anti"), "fresh")
-    links = links.unionByName(_confirm(fresh, rows, firsts, words, num, den))
+    involved = materialize(_each_node(open_, lambda x: _involved(x, least), "set_id long", where=True), "involved")
+    sets = _wanted_sets(involved, rows, firsts, words, packed=True)
+    full = open_.join(involved, ["node", "part", "set_id"], "left_semi").join(sets, "set_id")
+    links = links.unionByName(materialize(_each_node(full, lambda x: _linked(x, least, num, den), EDGES), "links"))
     return signed.select("doc_id", "n_shingles", "set_id"), materialize(components(links), "labels")
 
 
