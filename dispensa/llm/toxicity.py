@@ -12,10 +12,15 @@ is its best sentence's margin through a fitted logistic curve.
 
 The kernel counts common subsequences of ORDER characters, each weighted by
 DECAY per character it spans, so inserted characters and gaps lower a value
-without removing it.  Units are made so that spelling tricks stay inside one:
+without removing it.  Of each place of a landmark only the best occurrence in the
+unit counts, so that repeated pieces ("ororon") don't add up to a whole match.  Units are made so that spelling tricks stay inside one:
 A-Z are lower-cased, characters other than letters and digits are dropped from
-words, and runs of three or more one-letter words are joined.  Longer units than
-WINDOW bytes are seen through overlapping windows, so no text is cut.
+words, and runs of three or more one-letter words are joined.  Neighbouring words
+that together are about as long as a landmark and begin like one are a further
+unit, so that a landmark in fragments ("mor onic") is seen whole.  Longer units
+than WINDOW bytes are seen through overlapping windows, so no text is cut.  The
+machine and the curve are also fitted on passages of toxic documents in which a
+landmark has an inserted letter or a gap; they count as much as their documents.
 
 Fitting takes at most `max_train` labelled documents, those first by md5 of
 their doc_id within each label (a documented bound; scoring reads all texts
@@ -29,6 +34,7 @@ named in `keep`; those named like the operator's own give way."""
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -49,6 +55,10 @@ WINDOW, STEP = 32, 16
 LEAST = 0.4
 #: A power of a kernel is a kernel; this one sets whole matches further apart from partial ones.
 POWER = 2
+#: Joined words may be this many bytes longer than the longest landmark.
+ROOM = 2
+#: Passages with a changed landmark that one toxic document gives to training, and characters around it.
+PASSAGES, AROUND = 6, 60
 LETTER = np.zeros(256, bool)
 LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 STOP = np.zeros(256, bool)
@@ -69,8 +79,11 @@ class Units:
     doc: np.ndarray  # of every sentence
 
 
-def units(data: np.ndarray, off: np.ndarray) -> Units:
-    """Words without other characters than letters and digits; runs of one-letter words are one unit."""
+def units(data: np.ndarray, off: np.ndarray, begins: np.ndarray | None = None, reach: int = 0) -> Units:
+    """Words without other characters than letters and digits; runs of one-letter words are one unit.
+
+    Neighbouring words of up to `reach` bytes together are a further unit if the
+    first two bytes, or the first and the third, are marked in `begins`."""
     low = FOLD[data]
     letter = LETTER[low]
     starts, ends, doc = V.words(low, off)
@@ -107,6 +120,10 @@ def units(data: np.ndarray, off: np.ndarray) -> Units:
         w = np.concatenate(more)
         begin, end = np.r_[begin[short], w], np.r_[end[short], np.minimum(w + WINDOW, np.repeat(end[long], reps))]
         at, unit_doc = np.r_[at[short], np.repeat(at[long], reps)], np.r_[unit_doc[short], np.repeat(unit_doc[long], reps)]
+    if begins is not None and len(compact) > 2:
+        more = _joined(compact, first[solid], last[solid], doc[solid], begins, reach)
+        begin, end = np.r_[begin, more[0]], np.r_[end, more[1]]
+        at, unit_doc = np.r_[at, starts[solid][more[2]]], np.r_[unit_doc, doc[solid][more[2]]]
     sentence_key = unit_doc.astype(np.int64) * (len(data) + 1) + stops[at]
     keys, sentence = np.unique(sentence_key, return_inverse=True)
     marks = V.hashes(compact, begin, end)
@@ -114,22 +131,37 @@ def units(data: np.ndarray, off: np.ndarray) -> Units:
     return Units(compact, begin[pick], end[pick], back, sentence, (keys // (len(data) + 1)).astype(np.int64))
 
 
+def _joined(compact: np.ndarray, first: np.ndarray, last: np.ndarray, doc: np.ndarray, begins: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, end, first word) of two or more neighbouring words of a document, up to `reach` bytes together."""
+    follow = compact[np.minimum(first[:, None] + np.arange(3), len(compact) - 1)]
+    head = np.flatnonzero((last - first < reach) & (begins[follow[:, 0], follow[:, 1]] | begins[follow[:, 0], follow[:, 2]]))
+    found = [np.zeros((3, 0), np.int64)]
+    for k in range(1, reach):
+        head = head[head + k < len(first)]
+        head = head[(doc[head + k] == doc[head]) & (last[head + k] - first[head] <= reach)]
+        if not len(head):
+            break
+        found.append(np.stack([first[head], last[head + k], head]))
+    return tuple(np.concatenate(found, axis=1))
+
+
 def kernel(texts: np.ndarray, lengths: np.ndarray, landmark: bytes) -> np.ndarray:
-    """Gap-weighted subsequence kernel of order ORDER between rows of bytes (0 beyond their length) and a landmark."""
+    """Gap-weighted subsequence kernel of order ORDER between rows of bytes (0 beyond their length) and a landmark,
+    of every place of the landmark the best occurrence."""
     t = np.frombuffer(landmark, np.uint8)
     n, m = len(texts), len(t)
     fade = np.tril(DECAY ** (np.arange(m)[:, None] - np.arange(m)[None, :]).clip(0)).T  # [from, to], to >= from
     partial = [np.zeros((n, m + 1)) for _ in range(ORDER)]  # of order i, over prefixes of the landmark
     partial[0][:] = 1.0
-    total = np.zeros(n)
+    best = [np.zeros((n, m)) for _ in range(ORDER + 1)]  # of order i, by the landmark's place where it ends
     for pos in range(int(lengths.max(initial=0))):
-        alive = (lengths > pos)[:, None]
-        same = (texts[:, pos][:, None] == t) & alive
+        same = (texts[:, pos][:, None] == t) & (lengths > pos)[:, None]
         grown = [same * partial[i][:, :-1] * DECAY**2 for i in range(ORDER)]
-        total += grown[ORDER - 1].sum(axis=1)
+        np.maximum(best[ORDER], grown[ORDER - 1], out=best[ORDER])
         for i in range(1, ORDER):
-            partial[i][:, 1:] = np.where(alive, partial[i][:, 1:] * DECAY + grown[i - 1] @ fade, partial[i][:, 1:])
-    return total
+            best[i] = np.maximum(best[i] * DECAY, grown[i - 1])
+            partial[i][:, 1:] = best[i] @ fade
+    return best[ORDER].sum(axis=1)
 
 
 def _rows(found: Units, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,6 +181,8 @@ class Model:
     bias: float = 0.0
     slope: float = 0.0
     shift: float = -800.0  # an untrained model scores 0
+    begins: np.ndarray | None = None  # the first two bytes of landmarks
+    reach: int = 0
 
     def set_landmarks(self, landmarks: list[bytes]) -> None:
         """Kernel matrix of the landmarks, its diagonal (the scale) and its inverse root (the Nyström map)."""
@@ -159,6 +193,8 @@ class Model:
             rows[i, : len(t)] = np.frombuffer(t, np.uint8)
         sizes = np.array([len(t) for t in landmarks])
         gram = np.stack([kernel(rows, sizes, t) for t in landmarks], axis=1)
+        self.begins, self.reach = np.zeros((256, 256), bool), width + ROOM
+        self.begins[rows[:, 0], rows[:, 1]] = True
         self.scale = np.diag(gram).copy()
         gram = (gram / np.sqrt(self.scale[:, None] * self.scale[None, :])) ** POWER
         values, vectors = np.linalg.eigh((gram + gram.T) / 2)
@@ -196,7 +232,7 @@ class Model:
 
     def sentences(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(document, Nyström features) of the sentences of a slice that have a unit near a landmark."""
-        found = units(data, off)
+        found = units(data, off, self.begins, self.reach)
         near, values = self.near(found)
         if not len(near):
             return np.zeros(0, np.int64), np.zeros((0, len(self.landmarks)))
@@ -287,16 +323,34 @@ def _hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e
     return w[:-1], float(w[-1])
 
 
-def fit(texts: pa.Array, toxic: np.ndarray, rounds: int = 4) -> Model:
-    model = Model()
-    texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
-    data, off = V.flat(texts)
-    landmarks = _candidates(texts, toxic) if 0 < toxic.sum() < len(toxic) else []
-    if not landmarks:
-        return model
-    model.set_landmarks(landmarks)
+def _spellings(texts: pa.Array, landmarks: list[bytes]) -> tuple[list[str], np.ndarray]:
+    """(passages around landmarks, one of them with an inserted letter or, in every third, a gap; the text of each)."""
+    whole = []
+    for t in landmarks:
+        try:
+            whole.append(t.decode())
+        except UnicodeDecodeError:  # a beginning that ends inside a character
+            continue
+    whole = [t for t in whole if len(t) > 1]
+    if not whole:
+        return [], np.zeros(0, np.int64)
+    pattern = re.compile(r"(?<![^\W_])(?:" + "|".join(re.escape(t) for t in sorted(whole, key=len, reverse=True)) + ")", re.IGNORECASE)
+    rng, passages, of = np.random.default_rng(20240611), [], []
+    for i, text in enumerate(texts.to_pylist()):
+        hits = list(pattern.finditer(text or ""))
+        for k in range(PASSAGES if hits else 0):
+            hit = hits[int(rng.integers(len(hits)))]
+            at = hit.start() + int(rng.integers(1, hit.end() - hit.start()))
+            new = " " if k % 3 == 2 else chr(97 + int(rng.integers(26)))
+            passages.append(text[max(0, hit.start() - AROUND) : at] + new + text[at : hit.end() + AROUND])
+            of.append(i)
+    return passages, np.array(of, np.int64)
+
+
+def _machine(model: Model, texts: pa.Array, toxic: np.ndarray, weight: np.ndarray, rounds: int) -> None:
+    """Weights, bias, slope and shift from texts that count by their weight."""
     docs, features = [], []
-    for first, _, part, offsets in V.slices(data, off):
+    for first, _, part, offsets in V.slices(*V.flat(texts)):
         doc, x = model.sentences(part, offsets)
         docs.append(first + doc)
         features.append(x)
@@ -309,24 +363,44 @@ def fit(texts: pa.Array, toxic: np.ndarray, rounds: int = 4) -> Model:
         witness = order[np.r_[True, doc[order][1:] != doc[order][:-1]]]
         use = np.r_[witness, np.setdiff1d(np.flatnonzero(~toxic[doc]), witness)]
         y = np.where(toxic[doc[use]], 1.0, -1.0)
-        weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
-        model.weights, model.bias = _hinge(x[use], y, weight)
+        share = weight[doc[use]]
+        share = share * np.where(y > 0, 0.5 / max(share[y > 0].sum(), 1e-9), 0.5 / max(share[y < 0].sum(), 1e-9))
+        model.weights, model.bias = _hinge(x[use], y, share)
         margin = x @ model.weights + model.bias
     best = np.full(len(toxic), model.bias)
     np.maximum.at(best, doc, margin)
-    model.slope, model.shift = _logistic(best, toxic)
+    model.slope, model.shift = _logistic(best, toxic, weight)
+
+
+def fit(texts: pa.Array, toxic: np.ndarray, rounds: int = 4) -> Model:
+    model = Model()
+    texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
+    landmarks = _candidates(texts, toxic) if 0 < toxic.sum() < len(toxic) else []
+    if not landmarks:
+        return model
+    model.set_landmarks(landmarks)
+    _machine(model, texts, toxic, np.ones(len(toxic)), rounds)
+    # again with changed spellings of the landmarks that are toxic by themselves
+    alone = model.margins(np.frombuffer(b"".join(landmarks), np.uint8), np.r_[0, np.cumsum([len(t) for t in landmarks])])
+    passages, of = _spellings(texts.filter(pa.array(toxic)), [t for t, m in zip(landmarks, alone, strict=True) if m > 0])
+    if passages:
+        copies = np.bincount(of, minlength=int(toxic.sum()))
+        weight = np.r_[np.ones(len(toxic)), 1 / copies[of]]
+        both = pa.concat_arrays([texts.cast(pa.large_string()), pa.array(passages, pa.large_string())])
+        _machine(model, both, np.r_[toxic, np.ones(len(of), bool)], weight, rounds)
     return model
 
 
-def _logistic(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
+def _logistic(margin: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and shift of the curve from margin to probability, with smoothed targets."""
-    n1, n0 = int(toxic.sum()), int((~toxic).sum())
+    n1, n0 = float(weight[toxic].sum()), float(weight[~toxic].sum())
     target = np.where(toxic, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     a, b = 1.0, 0.0
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a * margin + b, -500, 500)))
-        w = np.maximum(p * (1 - p), 1e-9)
-        g = np.array([((p - target) * margin).sum() + 1e-3 * a, (p - target).sum()])
+        w = weight * np.maximum(p * (1 - p), 1e-9)
+        off = weight * (p - target)
+        g = np.array([(off * margin).sum() + 1e-3 * a, off.sum()])
         h = np.array([[(w * margin**2).sum() + 1e-3, (w * margin).sum()], [(w * margin).sum(), w.sum() + 1e-6]])
         step = np.linalg.solve(h, g)
         step *= min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
