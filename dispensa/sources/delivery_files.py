@@ -1,6 +1,7 @@
 """Reading of delivery, target, catalog, cost and consolidated files.
 
-Headers and a sample of lines reach the driver; rows are read by Spark.  Missing
+Headers and a sample of lines reach the driver; rows are read by Spark, which
+also decides the encoding over all bytes of a file.  Missing
 fields of short rows are empty, rows longer than the header are left out, and
 all columns are strings."""
 
@@ -44,6 +45,12 @@ def detect_encoding(lines: Sequence[bytes]) -> str:
         return "latin-1"
 
 
+def file_encoding(spark: SparkSession, path: str) -> str:
+    """utf-8 if every line of the file is, else latin-1; the lines are checked where they are read."""
+    odd = spark.read.text(path).where(~F.is_valid_utf8("value"))
+    return "utf-8" if odd.isEmpty() else "latin-1"
+
+
 def _header(lines: Sequence[bytes], encoding: str, sep: str) -> list[str]:
     return next(csv.reader(io.StringIO("\n".join(x.decode(encoding, "replace") for x in lines)), delimiter=sep), [])
 
@@ -89,7 +96,7 @@ def read_strings(spark: SparkSession, path: str, sep: str, encoding: str = "utf-
 def read_robust(spark: SparkSession, path: str) -> DataFrame:
     """A file of unknown encoding and separator."""
     lines = sample_lines(spark, path)
-    encoding = detect_encoding(lines)
+    encoding = file_encoding(spark, path)
     sep = widest_separator(lines, encoding)
     return read_strings(spark, path, sep, encoding, _clean_names(_header(lines, encoding, sep)))
 
@@ -97,7 +104,7 @@ def read_robust(spark: SparkSession, path: str) -> DataFrame:
 def read_sniffed(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
     """A price file and its separator."""
     lines = sample_lines(spark, path)
-    sep, encoding = sniff_separator(lines), detect_encoding(lines)
+    sep, encoding = sniff_separator(lines), file_encoding(spark, path)
     return read_strings(spark, path, sep, encoding, _clean_names(_header(lines, encoding, sep))), sep
 
 
