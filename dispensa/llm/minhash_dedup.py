@@ -94,7 +94,7 @@ def set_id(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.md5(shingles.tobytes()).digest()[:8], "little", signed=True)
 
 
-def _sign(words: int):
+def _sign(words: int, marked: bool):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seed = V.mix(np.arange(TREES, dtype=U) + U(1))
         for batch in batches:
@@ -106,8 +106,8 @@ def _sign(words: int):
                 sketches.append((values >> U(32)).astype(np.uint8).tobytes() if len(s) else None)
                 tokens.append(V.mix(values[:TREES] ^ seed).view(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(names, pa.int64()), pa.array(sketches, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_id", "sketch", "tokens"],
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(names, pa.int64()), pa.array(sketches, pa.binary()), pa.array(tokens, pa.list_(pa.int64())), *(batch.column(c) for c in ["mark"] * marked)],
+                names=["doc_id", "n_shingles", "set_id", "sketch", "tokens", *["mark"] * marked],
             )
 
     return sign
@@ -326,10 +326,11 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.drop("label").join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
 
 
-def near_links(docs: DataFrame, words: int, num: int, den: int, limit: int = LIMIT, depth: int = DEPTH) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, set_id of all rows; set_id, label of linked sets)."""
+def near_links(docs: DataFrame, words: int, num: int, den: int, limit: int = LIMIT, depth: int = DEPTH, marked: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, set_id and, if `marked`, the text's hash (mark) of all rows; set_id, label of linked sets)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = materialize(rows.mapInArrow(_sign(words), SIGNED), "signed")
+    texts = rows.withColumn("mark", F.xxhash64("text")) if marked else rows
+    signed = materialize(texts.mapInArrow(_sign(words, marked), SIGNED + ", mark long" * marked), "signed")
     named = signed.where("set_id is not null and doc_id is not null")
     firsts = materialize(named.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.first("tokens").alias("tokens")), "firsts")
     s = num / den
@@ -364,7 +365,7 @@ def near_links(docs: DataFrame, words: int, num: int, den: int, limit: int = LIM
     sets = _wanted_sets(involved, rows, firsts, words, packed=True)
     full = open_.join(involved, ["node", "part", "set_id"], "left_semi").join(sets, "set_id")
     links = links.unionByName(materialize(_each_node(full, lambda x: _linked(x, least, num, den), EDGES), "links"))
-    return signed.select("doc_id", "n_shingles", "set_id"), materialize(components(links), "labels")
+    return signed.drop("sketch", "tokens"), materialize(components(links), "labels")
 
 
 def _blocks(large: DataFrame, limit: int) -> DataFrame:
@@ -383,7 +384,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     docs: doc_id, text.  Returns doc_id, n_shingles, component_id (smallest
     doc_id reachable), kept (doc_id = component_id); with `keep` doc_id, these
     columns, component_id and kept."""
-    signed, labels = near_links(docs, words, num, den)
+    signed, labels = near_links(docs, words, num, den, marked=keep is not None)
     named = signed.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     smallest = named.where("label is not null and doc_id is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     found = named.join(smallest, "label", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
@@ -391,6 +392,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     if keep is None:
         return found.select("doc_id", "n_shingles", "component_id", kept)
     extra = [c for c in keep if c not in ("doc_id", "component_id", "kept")]
-    moved = found.where("doc_id <> component_id").groupBy(F.col("doc_id").alias("_doc")).agg(F.min("component_id").alias("_component"))
-    joined = docs.withColumn("doc_id", F.col("doc_id").cast("long")).select("doc_id", *extra).join(moved, F.col("doc_id") == F.col("_doc"), "left")
+    moved = found.where("doc_id <> component_id").groupBy(F.col("doc_id").alias("_doc"), F.col("mark").alias("_mark")).agg(F.min("component_id").alias("_component"))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *extra, F.xxhash64(F.col("text").cast("string")).alias("_text"))
+    joined = own.join(moved, (F.col("doc_id") == F.col("_doc")) & (F.col("_text") == F.col("_mark")), "left")  # rows of one doc_id may have different texts
     return joined.withColumn("component_id", F.coalesce("_component", "doc_id")).select("doc_id", *extra, "component_id", kept)
