@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
 from . import vocabulary as voc
 from .text import normalize_description
 
@@ -44,9 +44,7 @@ def components(rest: Column) -> Column:
 
 
 def parse(df: DataFrame, column: str, prefix: str = "") -> DataFrame:
-    """Adds original_clean, form, components and dosages of a description column.
-
-    Each step is a column of its own, so that none is evaluated twice."""
+    """Adds original_clean, form, components and dosages of a description column."""
     step = df.withColumn("_clean", normalize_description(F.col(column))).withColumn("_phrase", form_phrase(F.col("_clean")))
     without = F.when(F.col("_phrase").isNull(), F.col("_clean")).otherwise(F.regexp_replace("_clean", F.concat(F.lit(r"\b"), F.col("_phrase"), F.lit(r"\b")), F.lit(" ")))
     step = step.withColumn("_rest", without)
@@ -57,7 +55,6 @@ def parse(df: DataFrame, column: str, prefix: str = "") -> DataFrame:
 def parse_distinct(df: DataFrame, column: str) -> DataFrame:
     """The distinct descriptions of a table, parsed: most deliveries repeat a few thousand of them.
 
-    Kept (on disk beyond memory, computed anew where an executor is lost), as
-    every step of a cascade reads it and filters would otherwise be pushed
-    below the parser with a copy of it each."""
-    return parse(df.select(column).distinct(), column).persist(StorageLevel.MEMORY_AND_DISK)
+    Written to the shared folder, since every step of a cascade reads it and the
+    optimizer would otherwise copy the parser's 70 patterns into each of its filters."""
+    return materialize(parse(df.select(column).distinct(), column), "parsed")

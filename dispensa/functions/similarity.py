@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import DoubleType
 
 
@@ -15,23 +19,40 @@ def block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)])
 
 
-def close_ratio(cutoff: float):
-    """As block_ratio(candidate, word), null below the cutoff; upper bounds spare most comparisons."""
+def best_ratios(pairs: DataFrame, word: str, other: str, cutoff: float, reverse: bool = False) -> DataFrame:
+    """For each word the pairs of highest ratio at or above the cutoff: word, sim and the others' columns.
 
-    @F.pandas_udf(DoubleType())
-    def ratio(candidate: pd.Series, word: pd.Series) -> pd.Series:
-        out, matcher, last = [], SequenceMatcher(), None
-        for x, y in zip(candidate, word, strict=True):
-            if y != last:
-                matcher.set_seq2(y)
-                last = y
-            matcher.set_seq1(x)
-            near = matcher.real_quick_ratio() >= cutoff and matcher.quick_ratio() >= cutoff
-            value = matcher.ratio() if near else 0.0
-            out.append(value if value >= cutoff else None)
-        return pd.Series(out, dtype="float64")
+    Rows are dealt as they come: each batch keeps the best rows of every word it
+    holds, so a word with many candidates is no group of one task, and the caller
+    takes the best of a few rows per word.  Of a batch, pairs are compared in
+    order of an upper bound (their common subsequence), until none can be better.
+    The ratio is block_ratio(word, other), or of (other, word) if `reverse`."""
+    schema = T.StructType([*pairs.schema.fields, T.StructField("sim", T.DoubleType())])
 
-    return ratio
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, others = batch.column(word).to_pylist(), batch.column(other).to_pylist()
+            by_word: dict[str, list[tuple[float, int]]] = {}
+            for i, (x, y) in enumerate(zip(words, others, strict=True)):
+                bound = 2.0 * _common(x, y) / (len(x) + len(y)) if x or y else 1.0
+                if bound >= cutoff:
+                    by_word.setdefault(x, []).append((bound, i))
+            kept, sims = [], []
+            for x, rows in by_word.items():
+                top, found = cutoff, []
+                for bound, i in sorted(rows, key=lambda r: -r[0]):
+                    if bound < top:
+                        break
+                    a, b = (others[i], x) if reverse else (x, others[i])
+                    sim = SequenceMatcher(None, a, b).ratio()
+                    if sim >= top:
+                        top = sim
+                        found.append((sim, i))
+                kept += [i for sim, i in found if sim == top]
+                sims += [sim for sim, i in found if sim == top]
+            yield pa.RecordBatch.from_arrays([*batch.take(pa.array(kept, pa.int64())).columns, pa.array(sims, pa.float64())], names=[*batch.schema.names, "sim"])
+
+    return pairs.mapInArrow(best, schema)
 
 
 def _common(a: str, b: str) -> int:

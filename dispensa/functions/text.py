@@ -25,7 +25,7 @@ def _latin_folds() -> tuple[str, str]:
 _FROM, _TO = _latin_folds()
 NBSP, BOM = " ", "﻿"
 #: White space as Python sees it, for regular expressions that match Unicode classes.
-_SPACES = r"(?U)\s"
+_SPACES = r"(?U)[\s\x1c-\x1f]"
 _STRIP = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 _ZERO_WIDTH = "[​-‏‪-‮﻿]"
 _PRICE = r"[\s \-–—:]*\$?\s*\d{1,3}(?:[.,]\d{3})*(?:[.,]\d+)?\s*$"
@@ -48,14 +48,15 @@ def remove_accents_full(s: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(StringType())
-def compose_compatible(s: pd.Series) -> pd.Series:
-    """Compatibility composition (NFKC)."""
-    return s.fillna("").map(lambda t: unicodedata.normalize("NFKC", t))
+def robust_fold(s: pd.Series) -> pd.Series:
+    """Compatibility composition (NFKC), single spaces, no white space at the ends, case-folded; a null stays null."""
+    return s.map(lambda t: " ".join(unicodedata.normalize("NFKC", t).split()).casefold() if isinstance(t, str) else None)
 
 
 @F.pandas_udf(StringType())
 def casefold(s: pd.Series) -> pd.Series:
-    return s.fillna("").str.casefold()
+    """Case-folded; a null stays null."""
+    return s.map(lambda t: t.casefold() if isinstance(t, str) else None)
 
 
 def collapse_spaces(c: Column) -> Column:
@@ -79,21 +80,34 @@ def _join_units(c: Column, units: list[str]) -> Column:
 
 def catalog_key(c: Column) -> Column:
     """Catalog spelling of a product: forms expanded word by word, units joined to numbers."""
-    out = F.upper(remove_accents(c))
+    plain = F.upper(remove_accents(c))
+    out = plain
     for short, full in voc.CATALOG_FORMS.items():
         out = F.regexp_replace(out, rf"\b{short}\b", full)
+    # one pattern spares texts without any form the twelve replacements
+    out = F.when(plain.rlike(rf"\b(?:{'|'.join(voc.CATALOG_FORMS)})\b"), out).otherwise(plain)
     return strip(collapse_spaces(_join_units(out, voc.CATALOG_UNITS)))
 
 
-def standard_key(description: Column, quantity: Column) -> Column:
-    """Cross-reference key, or the review mark if quantity, text or unit is missing."""
+def standard_text_key(description: Column) -> Column:
+    """Cross-reference key of a text, or the review mark if text or unit is missing."""
     clean = F.regexp_replace(F.upper(remove_accents(description)), r"[^A-Z0-9\s.%]", " ")
     clean = F.trim(F.regexp_replace(_join_units(clean, voc.STANDARD_UNITS), r"\s+", " "))
     has_unit = clean.rlike(rf"(?:^|[\s\d])(?:{'|'.join(voc.STANDARD_UNITS)})\b")
-    missing = quantity.isNull() | (quantity == 0) | (text_or_empty(description) == "") | (clean == "") | ~has_unit
+    missing = (text_or_empty(description) == "") | (clean == "") | ~has_unit
     return F.when(missing, F.lit(voc.TO_REVIEW)).otherwise(clean)
 
 
+def key_or_review(key: Column, quantity: Column) -> Column:
+    """The key, or the review mark without a quantity."""
+    return F.when(quantity.isNull() | (quantity == 0), F.lit(voc.TO_REVIEW)).otherwise(key)
+
+
+def standard_key(description: Column, quantity: Column) -> Column:
+    """Cross-reference key, or the review mark if quantity, text or unit is missing."""
+    return key_or_review(standard_text_key(description), quantity)
+
+
 def _keyword_lab(text: Column) -> Column:
     upper = F.upper(text)
     return F.coalesce(*[F.when(upper.contains(k), F.lit(v)) for k, v in voc.LAB_KEYWORDS.items()], F.lit(voc.NO_LAB))
@@ -164,11 +178,18 @@ def key_trim(c: Column) -> Column:
     return strip(_plain(c))
 
 
+def _ascii(c: Column) -> Column:
+    return ~c.rlike(r"[^\x00-\x7F]")
+
+
 def key_casefold(c: Column) -> Column:
-    """Trimmed and case-folded.  Lower case equals folding but for the few letters it leaves, which go through the full folding."""
-    return casefold(key_trim(c))
+    """Trimmed and case-folded.  ASCII texts, for which this is lower case, stay in the JVM."""
+    plain = key_trim(c)
+    return F.when(_ascii(plain), F.lower(plain)).otherwise(casefold(F.when(~_ascii(plain), plain)))
 
 
 def key_robust(c: Column) -> Column:
-    """Folded key that ignores invisible characters, width and runs of white space."""
-    return casefold(strip(collapse_spaces(compose_compatible(remove_zero_width(_plain(c))))))
+    """Folded key that ignores invisible characters, width and runs of white space.  ASCII texts stay in the JVM."""
+    plain = remove_zero_width(_plain(c))
+    native = F.lower(strip(collapse_spaces(plain)))
+    return F.when(_ascii(plain), native).otherwise(robust_fold(F.when(~_ascii(plain), plain)))

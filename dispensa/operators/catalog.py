@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import vocabulary as voc
-from ..functions.similarity import close_ratio
-from .prices import length_candidates
+from ..functions.similarity import best_ratios
+from .prices import length_candidates, similar_candidates
 
 CUTOFF = 0.85
 
@@ -30,9 +30,8 @@ def match_catalog(keys: DataFrame, catalog: DataFrame, cutoff: float = CUTOFF) -
     wanted = keys.select("llave_cruce").distinct()
     equal = wanted.where("llave_cruce <> ''").join(catalog, F.col("llave_cruce") == F.col("llave")).select("llave_cruce", "oficial")
     open_ = wanted.join(equal.select("llave_cruce"), "llave_cruce", "left_anti")
-    # grouped by the key, so that the comparison's tables of it are built once
-    pairs = candidates(open_, catalog, cutoff).repartition("llave_cruce").sortWithinPartitions("llave_cruce")
-    scored = pairs.withColumn("sim", close_ratio(cutoff)("llave", "llave_cruce")).where("sim is not null")
+    pairs = similar_candidates(open_.where("llave_cruce <> ''"), "llave_cruce", catalog.select("llave", "oficial"), "llave", cutoff)
+    scored = best_ratios(pairs, "llave_cruce", "llave", cutoff, reverse=True)
     close = scored.groupBy("llave_cruce").agg(F.max(F.struct("sim", "llave", "oficial")).alias("b")).select("llave_cruce", F.col("b.oficial").alias("oficial"))
     found = wanted.join(equal.unionByName(close), "llave_cruce", "left")
     return found.select(

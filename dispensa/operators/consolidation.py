@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -10,16 +10,26 @@ from ..functions.numbers import decimal_comma, parse_colombian, share, shown_qua
 from . import catalog as cat
 
 
+def _described(rows: DataFrame, column: str, **derived: Column) -> DataFrame:
+    """Rows with columns that follow from a text column alone, each computed once per distinct text and never null
+    (which the optimizer sees, so that no later filter on them computes them again)."""
+    texts = rows.select(F.col(column).alias("_text")).distinct().withColumns({name: F.coalesce(c, F.lit("")) for name, c in derived.items()})
+    return rows.drop(*derived).join(texts, F.col(column).eqNullSafe(F.col("_text")), "left").drop("_text")
+
+
 def sanitize(deliveries: DataFrame) -> DataFrame:
     """Deliveries (descripcion_original, cantidad as text, mes_entrega) with number, laboratory and standard key."""
-    out = deliveries.withColumn("cantidad", parse_colombian(F.col("cantidad")))
-    return out.withColumns({"laboratorio": tx.extract_lab(F.col("descripcion_original")), "llave_de_cruce": tx.standard_key(F.col("descripcion_original"), F.col("cantidad"))})
+    text = F.col("_text")
+    out = _described(deliveries, "descripcion_original", laboratorio=tx.extract_lab(text), _key=tx.standard_text_key(text))
+    out = out.withColumn("cantidad", parse_colombian(F.col("cantidad")))
+    return out.withColumn("llave_de_cruce", tx.key_or_review(F.col("_key"), F.col("cantidad"))).drop("_key")
 
 
 def sanitize_catalog(deliveries: DataFrame) -> DataFrame:
     """As sanitize, with the laboratory's standard name and the catalog spelling of the first pipe part."""
-    out = deliveries.withColumn("cantidad_num", parse_colombian(F.col("cantidad")))
-    return out.withColumns({"laboratorio": tx.extract_lab_canonical(F.col("descripcion_original")), "llave_cruce": tx.catalog_key(tx.before_pipe(F.col("descripcion_original")))})
+    text = F.col("_text")
+    out = _described(deliveries, "descripcion_original", laboratorio=tx.extract_lab_canonical(text), llave_cruce=tx.catalog_key(tx.before_pipe(text)))
+    return out.withColumn("cantidad_num", parse_colombian(F.col("cantidad")))
 
 
 def consolidate(sanitized: DataFrame) -> DataFrame:
@@ -68,12 +78,12 @@ def union_months(frames: list[DataFrame]) -> DataFrame:
 
 
 def month_pivot(quantities: DataFrame, keys: list[str], months: list[str], total: str = "total_acumulado") -> DataFrame:
-    """One row per key, one column per month (lexicographic) and the row's total, which counts what the months hide."""
+    """One row per key, one column per month (lexicographic) and the row's total, which counts what the months hide: one aggregation."""
     months = sorted(months)
-    wide = quantities.groupBy(*keys).pivot("mes", months).agg(F.sum("cantidad"))
-    totals = quantities.groupBy(*keys).agg(F.sum("cantidad").alias(total))
     zero = F.lit(0).cast("decimal(38,6)")
-    return wide.join(totals, keys).select(*keys, *[shown_quantity(F.coalesce(F.col(f"`{m}`"), zero)).alias(m) for m in months], decimal_comma(F.col(total)).alias(total))
+    sums = [F.coalesce(F.sum(F.when(F.col("mes") == m, F.col("cantidad"))), zero).alias(m) for m in months]
+    wide = quantities.groupBy(*keys).agg(*sums, F.sum("cantidad").alias(total))
+    return wide.select(*keys, *[shown_quantity(F.col(f"`{m}`")).alias(m) for m in months], decimal_comma(F.col(total)).alias(total))
 
 
 def match_report(quantities: DataFrame, targets: DataFrame, months: list[str]) -> DataFrame:

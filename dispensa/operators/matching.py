@@ -7,21 +7,20 @@ broadcasts them if they are small and shuffles otherwise."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import medication
 from ..functions import vocabulary as voc
 from ..functions.numbers import share
+from ..scratch import materialize
 
 MATCH = ["status", "target", "descripcion_target", "codigo_target", "observacion"]
 
 
 def target_index(targets: DataFrame) -> DataFrame:
-    """Targets with their parsed descriptions; the ordinal decides which is first."""
-    parsed = medication.parse_distinct(targets, "descripcion")
-    return targets.join(parsed, "descripcion").persist(StorageLevel.MEMORY_AND_DISK)
+    """Targets with their parsed descriptions; the ordinal decides which is first.  Descriptions are parsed once, when this is called."""
+    return targets.join(medication.parse_distinct(targets, "descripcion"), "descripcion")
 
 
 def _first(index: DataFrame, keys: list[str]) -> DataFrame:
@@ -79,13 +78,15 @@ def match_list(parsed: DataFrame, index: DataFrame) -> DataFrame:
 
 def match_cascade(events: DataFrame, primary: DataFrame, secondary: DataFrame | None = None) -> DataFrame:
     """Outcome per distinct description: only what the primary list doesn't find
-    asks the secondary one; a suggestion of the primary list stays."""
+    asks the secondary one; a suggestion of the primary list stays.
+
+    A list is a table of targets or, to parse it once for many calls, its target_index."""
     parsed = medication.parse_distinct(events.withColumn("descripcion", F.coalesce("descripcion", F.lit(""))), "descripcion")
-    first = match_list(parsed, target_index(primary)).withColumn("fuente", F.lit("PRIMARY")).persist(StorageLevel.MEMORY_AND_DISK)
+    first = materialize(match_list(parsed, _indexed(primary)).withColumn("fuente", F.lit("PRIMARY")), "matched")
     if secondary is None:
         return first
     open_ = first.where(F.col("status") == voc.NOT_FOUND).select(*parsed.columns)
-    second = match_list(open_, target_index(secondary)).where(F.col("status") != voc.NOT_FOUND)
+    second = match_list(open_, _indexed(secondary)).where(F.col("status") != voc.NOT_FOUND)
     second = second.select(F.col("descripcion").alias("d"), *[F.col(c).alias(f"s_{c}") for c in MATCH])
     both = first.join(second, F.col("descripcion") == F.col("d"), "left")
     adopted = F.col("d").isNotNull()
@@ -95,6 +96,10 @@ def match_cascade(events: DataFrame, primary: DataFrame, secondary: DataFrame |
     )
 
 
+def _indexed(targets: DataFrame) -> DataFrame:
+    return targets if "components" in targets.columns else target_index(targets)
+
+
 def is_valid(status="status"):
     return F.col(status).isin(voc.EXACT, voc.PRESENTATION)
 
@@ -140,7 +145,9 @@ def coverage(classified: DataFrame, by: list[str]) -> DataFrame:
     return out.withColumn("cobertura", share(F.col("cruzado").cast("double"), F.col("total").cast("double")))
 
 
-def top_missing(classified: DataFrame, n: int = 50) -> DataFrame:
-    """Descriptions with the largest unmatched quantity, and the smallest code seen with each."""
-    missing = unmatched(classified).groupBy("descripcion_original").agg(F.sum("cantidad").alias("cantidad"), F.min("codigo_original").alias("codigo_original"))
-    return missing.orderBy(F.desc("cantidad"), "descripcion_original").limit(n)
+def top_missing(classified: DataFrame, n: int = 50, order: str = "orden") -> DataFrame:
+    """Descriptions with the largest unmatched quantity, and the first code seen with each: by `order`, or the smallest without such a column."""
+    missing = classified.where(~F.col("valido"))
+    code = F.min_by("codigo", order) if order in classified.columns else F.min("codigo")
+    totals = missing.groupBy(F.col("descripcion").alias("descripcion_original")).agg(F.sum("cantidad").alias("cantidad"), code.alias("codigo_original"))
+    return totals.orderBy(F.desc("cantidad"), "descripcion_original").limit(n)

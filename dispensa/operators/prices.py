@@ -4,11 +4,12 @@ costs: ordinal, descripcion, costo.  targets: descripcion and any others."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.similarity import block_ratio
+from ..functions.similarity import best_ratios, block_ratio
+from ..scratch import materialize
 
 THRESHOLD = 0.88
 #: (label, key of the target, key of the cost) in order of precedence.
@@ -44,7 +45,8 @@ def _keyed(df: DataFrame) -> DataFrame:
 def match_rules(targets: DataFrame, costs: DataFrame) -> DataFrame:
     """descripcion (distinct), rule and cost of the first rule that hits; of several costs with the key the most similar, then the first.
 
-    One equi-join on (rule, key): each side is a long table of its keys."""
+    One equi-join on (rule, key): each side is a long table of its keys.  Of the
+    costs with one key and one robust text only the first can win, so they meet the targets as one row."""
     wanted = _keyed(targets)
     offered = costs.withColumn("descripcion", F.coalesce("descripcion", F.lit(""))).join(_keyed(costs), "descripcion")
     long_t = wanted.select("descripcion", "k_robust", F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), F.col(f"k_{t}").alias("key")) for i, (_, t, _) in enumerate(RULES)])).alias("r"))
@@ -52,11 +54,10 @@ def match_rules(targets: DataFrame, costs: DataFrame) -> DataFrame:
         F.col("ordinal"), F.col("costo"), F.col("k_robust").alias("c_robust"),
         F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), F.col(f"k_{c}").alias("key")) for i, (_, _, c) in enumerate(RULES)])).alias("r"),
     )
-    hits = long_t.select("descripcion", "k_robust", "r.*").join(long_c.select("ordinal", "costo", "c_robust", "r.*"), ["rule", "key"])
+    kinds = long_c.groupBy("r.rule", "r.key", "c_robust").agg(F.min(F.struct("ordinal", "costo")).alias("c")).select("rule", "key", "c_robust", "c.ordinal", "c.costo")
+    hits = long_t.select("descripcion", "k_robust", "r.*").join(kinds, ["rule", "key"])
     first = hits.groupBy("descripcion").agg(F.min("rule").alias("rule"))
-    best = hits.join(first, ["descripcion", "rule"])
-    lone = F.count("*").over(_by_description())
-    best = best.withColumn("n", lone)
+    best = hits.join(first, ["descripcion", "rule"]).withColumn("n", F.count("*").over(Window.partitionBy("descripcion")))
     ratio = F.when(F.col("k_robust") == F.col("c_robust"), F.lit(1.0))
     single = best.where((F.col("n") == 1) | ratio.isNotNull()).withColumn("sim", F.lit(1.0))
     several = best.where((F.col("n") > 1) & ratio.isNull()).withColumn("sim", block_ratio("k_robust", "c_robust"))
@@ -64,12 +65,6 @@ def match_rules(targets: DataFrame, costs: DataFrame) -> DataFrame:
     return single.unionByName(several).groupBy("descripcion", "rule").agg(choice).select("descripcion", "rule", F.col("best.costo").alias("costo"))
 
 
-def _by_description():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("descripcion")
-
-
 def length_reach(n: Column, cutoff: float) -> tuple[Column, Column]:
     """Lengths a partner of a text of length n may have: 2 min / sum >= cutoff."""
     return F.ceil(F.lit(cutoff) * n / (2 - cutoff)), F.floor(n * (2 - cutoff) / F.lit(cutoff))
@@ -82,21 +77,56 @@ def length_candidates(words: DataFrame, word: str, others: DataFrame, other: str
     return words.withColumn("_len", F.length(word).cast("long")).join(spread, "_len").drop("_len")
 
 
+def similar_candidates(words: DataFrame, word: str, others: DataFrame, other: str, cutoff: float) -> DataFrame:
+    """Every pair of distinct texts whose ratio may reach the cutoff, each once, found by shared segments.
+
+    Matching blocks are a common subsequence, so a ratio of c or more means at
+    most d = (1 - c) (m + n) characters inserted or deleted between texts of m and
+    n characters.  The other text is cut into more segments than any partner may
+    have changes, hence one of them stands in the word unchanged, moved by no more
+    than the changes before and behind it allow.  The segments meet in an
+    equi-join on (length, segment number, segment), exactly, without all pairs.
+    Texts of no character match only each other."""
+    slack = 1e-9  # sums of floats may fall just short of a whole number
+    changes = lambda m, n: F.floor((1 - cutoff) * (m + n) + slack)
+    n = F.col("_n")
+    longest = F.floor(n * (2 - cutoff) / F.lit(cutoff) + slack)
+    count = F.least(changes(longest, n) + 1, n)  # of segments; single characters where more changes are allowed
+    begin = lambda i: F.floor(i * n / count).cast("int")
+    cut = others.withColumn("_n", F.length(other)).where("_n > 0").select("*", F.explode(F.sequence(F.lit(0), (count - 1).cast("int"))).alias("_i"))
+    cut = cut.withColumns({"_p": begin(F.col("_i")), "_e": begin(F.col("_i") + 1)}).withColumn("_s", F.substring(other, F.col("_p") + 1, F.col("_e") - F.col("_p"))).drop("_p", "_e")
+
+    m = F.col("_m")
+    low, high = F.ceil(F.lit(cutoff) * m / (2 - cutoff) - slack), F.floor(m * (2 - cutoff) / F.lit(cutoff) + slack)
+    parts = words.select(word).distinct().withColumn("_m", F.length(word)).where("_m > 0").withColumn("_n", F.explode(F.sequence(F.greatest(low, F.lit(1)).cast("int"), F.greatest(high, low, F.lit(1)).cast("int"))))
+    parts = parts.withColumn("_d", changes(m, n).cast("int")).withColumn("_i", F.explode(F.sequence(F.lit(0), (count - 1).cast("int"))))
+    parts = parts.withColumns({"_p": begin(F.col("_i")), "_e": begin(F.col("_i") + 1)})
+    # moved by s: |s| + |(m - n) - s| <= d
+    move = F.sequence(F.ceil((m - n - F.col("_d")) / 2).cast("int"), F.floor((m - n + F.col("_d")) / 2).cast("int"))
+    parts = parts.withColumn("_at", F.explode(F.transform(move, lambda s: F.col("_p") + s))).where("_at >= 0 and _at + _e - _p <= _m")
+    parts = parts.withColumn("_s", F.substring(word, F.col("_at") + 1, F.col("_e") - F.col("_p"))).select(word, "_n", "_i", "_s", "_d").distinct()
+    # few bytes with much work: dealt to all tasks, whatever their size
+    parts = parts.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_n", "_i", "_s")
+    # an insertion or deletion is an edit, so the number of edits is a lower bound of theirs
+    met = parts.join(cut, ["_n", "_i", "_s"]).where(F.expr(f"levenshtein(`{word}`, `{other}`, _d) >= 0"))
+    empty = words.select(word).distinct().join(others, (F.col(word) == "") & (F.col(other) == F.col(word)))
+    return met.select(word, *others.columns).distinct().unionByName(empty)
+
+
 def match_similar(targets: DataFrame, costs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """descripcion, cost and similarity of the most similar cost (the first of equals) at or above the threshold."""
-    wanted = _keyed(targets).select("descripcion", "k_robust")
+    wanted = materialize(_keyed(targets).select("descripcion", "k_robust"), "wanted")  # asked for several times
     offered = costs.withColumn("descripcion", F.coalesce("descripcion", F.lit(""))).join(_keyed(costs).select("descripcion", F.col("k_robust").alias("c_robust")), "descripcion")
-    offered = offered.groupBy("c_robust").agg(F.min(F.struct("ordinal", "costo")).alias("c"))
-    pairs = length_candidates(wanted, "k_robust", offered, "c_robust", threshold)
-    scored = pairs.withColumn("sim", block_ratio("k_robust", "c_robust")).where(F.col("sim") >= threshold)
-    best = scored.groupBy("descripcion").agg(F.max(F.struct("sim", (-F.col("c.ordinal")).alias("neg"), F.col("c.costo").alias("costo"))).alias("b"))
-    return best.select("descripcion", F.col("b.costo").alias("costo"), F.col("b.sim").alias("similitud"))
+    offered = offered.groupBy("c_robust").agg(F.min(F.struct("ordinal", "costo")).alias("c")).select("c_robust", "c.ordinal", "c.costo")
+    scored = best_ratios(similar_candidates(wanted, "k_robust", offered, "c_robust", threshold), "k_robust", "c_robust", threshold)
+    best = scored.groupBy("k_robust").agg(F.max(F.struct("sim", (-F.col("ordinal")).alias("neg"), "costo")).alias("b"))
+    return wanted.join(best, "k_robust").select("descripcion", F.col("b.costo").alias("costo"), F.col("b.sim").alias("similitud"))
 
 
 def look_up(targets: DataFrame, costs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """targets with precio_encontrado, metodo_coincidencia and similitud; similarity only sees what no rule finds."""
     targets = targets.withColumn("descripcion", F.coalesce("descripcion", F.lit("")))
-    ruled = match_rules(targets, costs)
+    ruled = materialize(match_rules(targets, costs), "ruled")
     label = F.coalesce(*[F.when(F.col("rule") == i, F.lit(name)) for i, (name, _, _) in enumerate(RULES)])
     by_rule = ruled.select("descripcion", F.col("costo").alias("precio_encontrado"), label.alias("metodo_coincidencia"), F.lit(1.0).alias("similitud"))
     rest = targets.select("descripcion").distinct().join(ruled.select("descripcion"), "descripcion", "left_anti")
@@ -121,13 +151,13 @@ def not_found(looked_up: DataFrame) -> DataFrame:
 
 
 def nearest_costs(looked_up: DataFrame, costs: DataFrame, first: int = 10, each: int = 3) -> DataFrame:
-    """A diagnosis of the first unmatched targets (ordinal): the most similar costs of each."""
-    from pyspark.sql import Window
+    """A diagnosis of the first unmatched targets (ordinal): the most similar costs of each, of equal ones the first.
 
-    some = not_found(looked_up).orderBy("ordinal").limit(first).select("ordinal", "descripcion")
-    some = some.withColumn("t_robust", tx.key_robust(F.col("descripcion")))
+    The report's few targets are a literal beside every cost; ranks are cut down before the exchange."""
+    some = not_found(looked_up).orderBy("ordinal").limit(first).select("ordinal", "descripcion").withColumn("t_robust", tx.key_robust(F.col("descripcion")))
     offered = costs.select(F.col("ordinal").alias("costo_ordinal"), F.col("descripcion").alias("costo_descripcion"), "costo", tx.key_robust(F.col("descripcion")).alias("c_robust"))
-    # at most `first` rows on one side: a report, not a join of two tables
-    scored = offered.join(F.broadcast(some)).withColumn("similitud", block_ratio("t_robust", "c_robust"))
+    asked = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("ordinal", "descripcion", "t_robust")]) for r in some.collect()])  # at most `first` rows
+    scored = offered.withColumn("t", F.explode(asked.cast("array<struct<ordinal:bigint,descripcion:string,t_robust:string>>"))).select("*", "t.*")
+    scored = scored.withColumn("similitud", block_ratio("t_robust", "c_robust"))
     order = Window.partitionBy("ordinal").orderBy(F.desc("similitud"), "costo_ordinal")
     return scored.withColumn("puesto", F.row_number().over(order)).where(F.col("puesto") <= each).select("ordinal", "descripcion", "puesto", "costo_descripcion", "costo", "similitud")
