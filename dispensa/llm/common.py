@@ -1,37 +1,16 @@
-"""Helpers shared by the operators: scratch tables, sizing, digests."""
+"""Helpers shared by the operators: sizing and chunks."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of input that one chunk (a group of documents handled together) holds.
-CHUNK_BYTES = 6 << 20
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a folder of our own only where none is set (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = tempfile.mkdtemp(prefix="scratch-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+from ..scratch import materialize, scratch_dir, scratch_path
 
+__all__ = ["CHUNK_BYTES", "chunk_count", "input_bytes", "materialize", "scratch_dir", "scratch_path", "with_chunk"]
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it again: cuts lineage
-    in a way that survives lost executors and is computed once."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Bytes of input that one chunk (a group of documents handled together) holds.
+CHUNK_BYTES = 6 << 20
 
 
 def input_bytes(df: DataFrame) -> int:
