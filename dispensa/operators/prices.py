@@ -146,6 +146,11 @@ def summary(looked_up: DataFrame) -> DataFrame:
     return looked_up.agg(F.count_if(~missing).alias("encontrados"), F.count_if(missing).alias("no_encontrados"))
 
 
+def preview(looked_up: DataFrame, n: int = 10) -> DataFrame:
+    """The first rows."""
+    return looked_up.orderBy("ordinal").limit(n)
+
+
 def not_found(looked_up: DataFrame) -> DataFrame:
     return looked_up.where(F.col("metodo_coincidencia") == NOT_FOUND)
 

@@ -5,6 +5,10 @@ One SQL text serves Spark (with DataFrames filled in) and the DuckDB oracle (as
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..scratch import scratch_path
+from ..sources import sinks
 
 CONTRACT = """
 SELECT p_partkey AS ordinal, CASE WHEN p_partkey % 3 = 0 THEN 'SECONDARY' ELSE 'PRIMARY' END AS fuente,
@@ -51,6 +55,10 @@ GROUP BY mes, upper(p.p_name), p.p_brand
 MONTHS = [f"{m}mesEvento" for m in range(1, 13)]
 
 
+#: Formats that event files come in, by the number of the month: separator, encoding and names of name and quantity.
+FORMATS = ((";", "UTF-8", "nombre", "cantidad"), (",", "ISO-8859-1", "descripcion", "unidades"), ("|", "UTF-8", "Producto", "CANT"))
+
+
 class Views:
     """The derived tables of one folder of base tables."""
 
@@ -88,6 +96,25 @@ class Views:
     def consolidated(self) -> DataFrame:
         return self.spark.sql(CONSOLIDATED, part=self.table("part"), lineitem=self.table("lineitem"))
 
+    def event_files(self) -> str:
+        """A folder with the deliveries as one file (a folder of parts) per month, in several formats, and a result of an earlier run."""
+        folder = scratch_path(self.spark, "events")
+        for i, (sep, encoding, name, quantity) in enumerate(FORMATS):
+            rows = self.deliveries.where(F.expr(f"CAST(replace(mes, 'mesEvento') AS INT) % {len(FORMATS)} = {i}"))
+            columns = [F.col("descripcion").alias(name), F.col("codigo").alias("CUM"), F.col("cantidad").alias(quantity), "mes", *[F.col("l_orderkey").cast("string").alias("pedido")] * (i == 0)]
+            # a byte-order mark, a name with blanks: headers are cleaned
+            sinks.write_folders(rows.select(*columns).withColumnRenamed("CUM", " CUM "), "mes", folder, "{}.csv", sep, mark=encoding == "UTF-8", encoding=encoding)
+        sinks.write_csv(self.contract, f"{folder}/reporte_Evento.csv")
+        return folder
+
+    def list_file(self, rows: DataFrame, sep: str, encoding: str = "UTF-8") -> str:
+        """A list (ordinal and others) as a file in the order of its ordinal, which it doesn't hold."""
+        path = scratch_path(self.spark, "list")
+        n = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        ordered = rows.repartitionByRange(n, "ordinal").sortWithinPartitions("ordinal").drop("ordinal")
+        sinks.csv_writer(ordered, sep, False, encoding).csv(path)
+        return path
+
 
 def ctes(*names: str) -> str:
     """The views as DuckDB CTEs, those they need included."""

@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import medication, phonetic
+from ..functions import medication, phonetic, similarity
 from ..functions import numbers as num
 from ..functions import text as tx
 from ..functions import vocabulary as voc
 from ..operators import catalog, consolidation, matching, prices, reports
+from ..scratch import scratch_path
+from ..sources import delivery_files as files
+from ..sources import sinks
 from ..sources.delivery_files import chunk_numbers
 from .fixtures import MONTHS, Views, ctes
 
@@ -177,9 +180,17 @@ def unmatched(v: Views) -> DataFrame:
     return matching.unmatched(_classified(v)).withColumn("cantidad", F.col("cantidad").cast("double"))
 
 
-@query(CASCADE + "SELECT descripcion AS descripcion_original, sum(cantidad)::DOUBLE AS cantidad, min(codigo) AS codigo_original FROM k WHERE NOT valido GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 50")
+_PLACED = CASCADE.replace("SELECT e.mes,", "SELECT e.l_orderkey, e.l_linenumber, e.l_partkey, e.mes,")
+
+
+@query(
+    _PLACED
+    + "SELECT descripcion AS descripcion_original, sum(cantidad)::DOUBLE AS cantidad, arg_min(codigo, (l_orderkey, l_linenumber, l_partkey)) AS codigo_original FROM k WHERE NOT valido GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 50"
+)
 def top_missing_50(v: Views) -> DataFrame:
-    return matching.top_missing(_classified(v)).withColumn("cantidad", F.col("cantidad").cast("double"))
+    """With the first code of each by order."""
+    events = _events(v).withColumn("orden", F.struct("l_orderkey", "l_linenumber", "l_partkey"))
+    return matching.top_missing(matching.classify(events, v.primary, v.secondary)).withColumn("cantidad", F.col("cantidad").cast("double"))
 
 
 _COVER = "sum(cantidad)::DOUBLE AS total, coalesce(sum(cantidad) FILTER (valido), 0)::DOUBLE AS cruzado, round(coalesce(sum(cantidad) FILTER (valido), 0)::DOUBLE / sum(cantidad)::DOUBLE * 100, 6) AS cobertura"
@@ -266,7 +277,7 @@ def file_audit(v: Views) -> DataFrame:
     return consolidation.file_audit(consolidation.sanitize(_raw(v)))
 
 
-@query(f"{_RAW} SELECT sum(q) AS entrada, sum(q) AS salida, true AS integro FROM r")
+@query(f"{_RAW}, g AS (SELECT sum(q) AS s FROM r GROUP BY {_KEY}, {_lab(False)}) SELECT *, abs(entrada - salida) < 0.01 AS integro FROM (SELECT (SELECT sum(q) FROM r) AS entrada, (SELECT sum(s) FROM g) AS salida)")
 def integrity_check(v: Views) -> DataFrame:
     rows = consolidation.sanitize(_raw(v))
     return consolidation.integrity(rows, "cantidad", consolidation.consolidate(rows), "cantidad_total_entregada")
@@ -363,14 +374,27 @@ def parse_month(v: Views) -> DataFrame:
     return v.consolidated.select("mes").distinct().union(extra).select("mes", num.month_order(F.col("mes")).alias("orden"), num.month_name(F.col("mes")).alias("nombre"))
 
 
-@query(f"WITH {ctes('v_deliveries')} SELECT DISTINCT cantidad, CAST(replace(replace(cantidad, '.', ''), ',', '.') AS DOUBLE) AS cantidad_decimal FROM v_deliveries")
+def _spelt(v: Views) -> DataFrame:
+    return v.deliveries.select(F.explode(F.array(*[F.expr(x) for x in _SPELLINGS])).alias("cantidad")).distinct()
+
+
+#: Spellings of the deliveries' quantities in which the two grammars differ.
+_SPELLINGS = ("cantidad", "replace(replace(replace(cantidad, '.', '#'), ',', '.'), '#', ',')", "replace(cantidad, ',00', '')", "replace(cantidad, '.', '')", "'$ ' || replace(cantidad, ',', '.')", "cantidad || 'x'")
+_SPELT = " UNION ".join(f"SELECT {x} AS cantidad FROM v_deliveries" for x in _SPELLINGS)
+_PLAIN = "replace(replace(cantidad, '$', ''), ' ', '')"
+
+
+@query(
+    f"WITH {ctes('v_deliveries')}, s AS ({_SPELT}), p AS (SELECT cantidad, {_PLAIN} AS x FROM s) SELECT cantidad, coalesce(TRY_CAST(CASE WHEN contains(x, ',') AND contains(x, '.') "
+    "THEN CASE WHEN instr(x, '.') < instr(x, ',') THEN replace(replace(x, '.', ''), ',', '.') ELSE replace(x, ',', '') END ELSE replace(x, ',', '.') END AS DOUBLE), 0) AS cantidad_decimal FROM p"
+)
 def quantity_decimal(v: Views) -> DataFrame:
-    return v.deliveries.select("cantidad").distinct().withColumn("cantidad_decimal", num.parse_decimal(F.col("cantidad")).cast("double"))
+    return _spelt(v).withColumn("cantidad_decimal", num.parse_decimal(F.col("cantidad")).cast("double"))
 
 
-@query(f"WITH {ctes('v_deliveries')} SELECT DISTINCT cantidad, CAST(replace(replace(cantidad, '.', ''), ',', '.') AS DOUBLE) AS cantidad_num FROM v_deliveries")
+@query(f"WITH {ctes('v_deliveries')}, s AS ({_SPELT}) SELECT cantidad, coalesce(TRY_CAST(replace(replace(cantidad, '.', ''), ',', '.') AS DOUBLE), 0) AS cantidad_num FROM s")
 def quantity_colombian(v: Views) -> DataFrame:
-    return v.deliveries.select("cantidad").distinct().withColumn("cantidad_num", num.parse_colombian(F.col("cantidad")))
+    return _spelt(v).withColumn("cantidad_num", num.parse_colombian(F.col("cantidad")))
 
 
 _CUT = "CASE WHEN regexp_matches({c}, '[\\s\\-:]*\\$?\\s*\\d{{1,3}}(?:[.,]\\d{{3}})*(?:[.,]\\d+)?\\s*$') THEN rtrim(regexp_replace({c}, '[\\s\\-:]*\\$?\\s*\\d{{1,3}}(?:[.,]\\d{{3}})*(?:[.,]\\d+)?\\s*$', '')) ELSE {c} END"
@@ -471,15 +495,168 @@ def token_match_exact_or_phonetic(v: Views) -> DataFrame:
     return rows.join(other, "ordinal").select("ordinal", phonetic.first_word_matches(F.col("descripcion"), F.col("otra"), fuzzy=False).alias("coincide"))
 
 
-@query()
+_NOISE = "|".join(sorted(voc.LAB_NOISE, key=lambda n: (-len(n), n)))
+_CLEAN = rf"strip_accents(regexp_replace(string_split(upper(d), '|')[1], '\b({_NOISE})\b', '', 'gi'))"
+_CLEAN = rf"regexp_replace(regexp_replace(replace({_CLEAN}, ',', '.'), '(\d)\s*([A-Z%]+)', '\1 \2', 'g'), '([A-Z%]+)\s*(\d)', '\1 \2', 'g')"
+_EXPANDED = "CASE w " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in voc.ABBREVIATIONS.items()) + " ELSE w END"
+
+
+@query(
+    f"WITH {ctes('v_deliveries')}, t AS (SELECT DISTINCT descripcion AS d FROM v_deliveries) SELECT d AS descripcion, array_to_string(list_filter(list_transform(regexp_split_to_array(regexp_replace({_CLEAN}, "
+    rf"'[^A-Z0-9\s.%]', ' ', 'g'), '\s+'), lambda w: {_EXPANDED}), lambda w: w <> ''), ' ') AS limpio, regexp_replace(d, '\d+', '', 'g') AS sin_numeros, regexp_replace(d, '\b({_NOISE})\b', '', 'gi') AS sin_laboratorio FROM t"
+)
 def clean_text(v: Views) -> DataFrame:
-    """Deep cleaning of delivered descriptions."""
-    return v.deliveries.select("descripcion").distinct().withColumn("limpio", tx.clean_text(F.col("descripcion")))
+    """Deep cleaning of delivered descriptions, and two of its parts alone."""
+    d = F.col("descripcion")
+    return v.deliveries.select("descripcion").distinct().withColumns({"limpio": tx.clean_text(d), "sin_numeros": tx.remove_numbers(d), "sin_laboratorio": tx.strip_labs(d)})
+
+
+@query()
+def token_match(v: Views) -> DataFrame:
+    """First significant words that are equal, alike or sound alike, and the likeness of the whole descriptions."""
+    rows = v.contract.select("ordinal", "descripcion")
+    other = rows.select((F.col("ordinal") - 1).alias("ordinal"), F.col("descripcion").alias("otra"))
+    both = rows.join(other, "ordinal")
+    return both.select("ordinal", "descripcion", "otra", phonetic.first_word_matches(F.col("descripcion"), F.col("otra")).alias("coincide"), F.round(similarity.indel_ratio("descripcion", "otra"), 6).alias("parecido"))
+
+
+@query()
+def price_summary(v: Views) -> DataFrame:
+    """Found and not found by rules and similarity."""
+    return prices.summary(prices.look_up(v.price_targets, v.costs))
+
+
+@query()
+def price_preview(v: Views) -> DataFrame:
+    return prices.preview(prices.look_up(v.price_targets, v.costs)).withColumn("similitud", F.round("similitud", 6))
+
+
+def _catalog(v: Views) -> DataFrame:
+    return catalog.catalog_keys(v.contract, "descripcion")
+
+
+@query()
+def consolidate_named(v: Views) -> DataFrame:
+    """Units by month, official product (matched to the contract as catalog) and laboratory."""
+    return consolidation.consolidate_catalog(consolidation.with_catalog(consolidation.sanitize_catalog(_raw(v)), _catalog(v)))
+
+
+@query()
+def file_audit_matched(v: Views) -> DataFrame:
+    """Rows, quantity and share of matched rows of each file."""
+    named = consolidation.with_catalog(consolidation.sanitize_catalog(_raw(v)), _catalog(v))
+    return consolidation.file_audit(named, "cantidad_num", "match_found").withColumn("coincidencia", F.round("coincidencia", 6))
+
+
+# Sources: the tables are written as files of several formats and read back.
+
+
+@query(f"WITH {ctes('v_deliveries')} SELECT mes, descripcion, codigo, cantidad FROM v_deliveries")
+def read_events(v: Views) -> DataFrame:
+    """Audit files found by their names, with separator, encoding and columns detected; a result of an earlier run is no event file."""
+    paths = files.discover_events(v.spark, v.event_files())
+    return files.load_events(v.spark, paths)[0].select("mes", "descripcion", "codigo", "cantidad")
+
+
+@query(
+    f"WITH {ctes('v_deliveries')} SELECT mes AS mes_entrega, mes, descripcion AS descripcion_original, codigo AS \"CUM\", cantidad, "
+    "CASE WHEN CAST(replace(mes, 'mesEvento', '') AS INT) % 3 = 0 THEN CAST(l_orderkey AS VARCHAR) END AS pedido FROM v_deliveries"
+)
+def read_deliveries(v: Views) -> DataFrame:
+    """Sanitizer files, by name; a column that only some files have is null in the others."""
+    return files.load_deliveries(v.spark, files.list_files(v.spark, f"{v.event_files()}/*.csv"))[0]
+
+
+@query(f"WITH {ctes('v_contract')} SELECT row_number() OVER (ORDER BY ordinal) - 1 AS ordinal, 'PRIMARY' AS fuente, descripcion, codigo FROM v_contract WHERE fuente = 'PRIMARY'")
+def read_targets(v: Views) -> DataFrame:
+    """A contract list with its rows' places."""
+    path = v.list_file(v.primary.select("ordinal", F.col("codigo").alias("codigo_neg"), F.col("fuente").alias("descripcion_fuente"), "descripcion"), "\t")
+    return files.load_targets(v.spark, path).select("ordinal", "fuente", "descripcion", "codigo")
+
+
+_CATALOG_FILE = "regexp_replace(descripcion, ' [0-9]+MG', '')"
+
+
+@query(
+    f"WITH {ctes('v_contract')}, c AS (SELECT ordinal, {_CATALOG_FILE} AS n FROM v_contract), k AS (SELECT ordinal, n, {_CATALOG_KEY.format(c='n')} AS llave FROM c) "
+    "SELECT llave, arg_max(n, ordinal) AS oficial, max(ordinal) AS ultimo FROM k GROUP BY llave"
+)
+def read_catalog(v: Views) -> DataFrame:
+    """A catalog without a column of the usual name: the first one counts; of names with one key the last stays."""
+    rows = files.load_catalog(v.spark, v.list_file(v.contract.select("ordinal", F.expr(_CATALOG_FILE).alias("articulo"), "codigo"), ";"))
+    last = rows.withColumn("llave", tx.catalog_key(F.col("producto_genhospi"))).groupBy("llave").agg(F.max("ordinal").alias("ultimo"))
+    return catalog.catalog_keys(rows).join(last, "llave")
+
+
+@query(f"WITH {ctes('v_costs')} SELECT row_number() OVER (ORDER BY ordinal) - 1 AS ordinal, descripcion, costo FROM v_costs")
+def read_costs(v: Views) -> DataFrame:
+    """A price list whose columns are known by their places."""
+    path = v.list_file(v.costs.select("ordinal", F.col("descripcion").alias("articulo"), F.col("costo").alias("valor")), "|", "ISO-8859-1")
+    return files.load_costs(v.spark, path).select("ordinal", "descripcion", "costo")
+
+
+@query(f"WITH {ctes('v_price_targets')} SELECT row_number() OVER (ORDER BY ordinal) - 1 AS ordinal, descripcion, CAST(ordinal AS VARCHAR) AS referencia FROM v_price_targets")
+def read_price_targets(v: Views) -> DataFrame:
+    rows = v.price_targets.select("ordinal", F.col("ordinal").cast("string").alias("referencia"), "descripcion")
+    return files.load_price_targets(v.spark, v.list_file(rows, ";"))[0].select("ordinal", "descripcion", "referencia")
+
+
+@query(f"WITH {ctes('v_consolidated')} SELECT mes, producto_oficial, laboratorio, total_unidades::DOUBLE AS total_unidades, numero_de_entregas::BIGINT AS numero_de_entregas FROM v_consolidated")
+def read_consolidated(v: Views) -> DataFrame:
+    path = scratch_path(v.spark, "consolidated")
+    sinks.write_csv(v.consolidated, path)
+    return files.load_consolidated(v.spark, path)
+
+
+@query(f"WITH {ctes('v_deliveries')} SELECT mes || '_LIMPIO' AS archivo, mes, descripcion, cantidad FROM v_deliveries")
+def export_months(v: Views) -> DataFrame:
+    """One file per month, read back under its name."""
+    paths = sinks.write_months(v.deliveries.select("mes", "descripcion", "cantidad"), scratch_path(v.spark, "months"), "mes")
+    return files.load_deliveries(v.spark, paths)[0].select(F.col("mes_entrega").alias("archivo"), "mes", F.col("descripcion_original").alias("descripcion"), "cantidad")
+
+
+@query(
+    f"{_V}, g AS (SELECT 'Global_Periodo' AS hoja, producto_oficial, sum(total_unidades) AS u FROM v_consolidated GROUP BY ALL UNION ALL SELECT {_MN} AS hoja, producto_oficial, sum(total_unidades) AS u FROM v_consolidated GROUP BY ALL) "
+    "SELECT * FROM (SELECT hoja, producto_oficial, u AS total_unidades, row_number() OVER (PARTITION BY hoja ORDER BY u DESC, producto_oficial) AS ranking FROM g) WHERE ranking <= 50"
+)
+def workbook_sheets(v: Views) -> DataFrame:
+    """All sheets of the ranking workbook."""
+    out = None
+    for name, sheet in sinks.ranking_sheets(v.consolidated).items():
+        rows = sheet.select(F.lit(name).alias("hoja"), "producto_oficial", "total_unidades", "ranking")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 _ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
-@query(f"SELECT l_orderkey, l_linenumber, i AS indice, (i // 15000 + 1)::BIGINT AS parte FROM (SELECT *, row_number() OVER (ORDER BY {', '.join(_ORDER)}) - 1 AS i FROM lineitem)")
+_NUMBERED = f"(SELECT *, row_number() OVER (ORDER BY {', '.join(_ORDER)}) - 1 AS i FROM lineitem)"
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_shipdate, i AS indice, (i // 15000 + 1)::BIGINT AS parte FROM {_NUMBERED}")
 def chunk_split(v: Views) -> DataFrame:
-    return chunk_numbers(v.table("lineitem"), _ORDER).select("l_orderkey", "l_linenumber", "indice", "parte")
+    return chunk_numbers(v.table("lineitem"), _ORDER).select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_shipdate", "indice", "parte")
+
+
+_SHORT = ["l_orderkey", "l_linenumber"]
+
+
+@query("SELECT (i // 15000 + 1)::BIGINT AS parte, count(*)::BIGINT AS filas, min(i) AS primera, max(i) AS ultima, min(l_orderkey) AS menor, max(l_orderkey) AS mayor FROM (SELECT l_orderkey, row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS i FROM lineitem) GROUP BY 1")
+def chunk_ranges(v: Views) -> DataFrame:
+    """Parts of an order with ties, numbered with all other columns beside."""
+    numbered = chunk_numbers(v.table("lineitem"), _SHORT).groupBy("parte").agg(
+        F.countDistinct("indice", *v.table("lineitem").columns).alias("filas"), F.min("indice").alias("primera"), F.max("indice").alias("ultima"), F.min("l_orderkey").alias("menor"), F.max("l_orderkey").alias("mayor")
+    )
+    return numbered
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_extendedprice, i AS indice, (i // 15000 + 1)::BIGINT AS parte FROM {_NUMBERED}")
+def split_file(v: Views) -> DataFrame:
+    """Rows of a file numbered in its own order."""
+    path = scratch_path(v.spark, "split")
+    table = v.table("lineitem")
+    n = max(1, int(v.spark.conf.get("spark.sql.shuffle.partitions")))
+    table.repartitionByRange(n, *_ORDER).sortWithinPartitions(*_ORDER).write.option("header", True).csv(path)
+    rows = files.number_file(v.spark, path)
+    return rows.select(*[F.col(c).cast(table.schema[c].dataType).alias(c) for c in ("l_orderkey", "l_linenumber", "l_extendedprice")], "indice", "parte")

@@ -7,16 +7,49 @@ from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.reports import indicator_text, monthly_evolution, rank_products, rank_products_monthly
+from ..scratch import hadoop_path
 
 AUDIT_SEPARATOR, SANITIZER_SEPARATOR = ";", ","
 SHEET_NAME = 31
 
 
-def write_csv(df: DataFrame, path: str, sep: str = SANITIZER_SEPARATOR) -> None:
-    """A folder of part files."""
-    df.write.mode("overwrite").option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').csv(path)
+def csv_writer(df: DataFrame, sep: str, mark: bool, encoding: str = "UTF-8"):
+    """A writer of comma-separated parts; with `mark` each begins with a byte-order mark, which is the first name's first character."""
+    if mark and df.columns:
+        df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
+    exact = df.write.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    return exact.mode("overwrite").option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').option("encoding", encoding)
+
+
+def write_csv(df: DataFrame, path: str, sep: str = SANITIZER_SEPARATOR, mark: bool = True) -> None:
+    """A folder of part files, each with header and byte-order mark."""
+    csv_writer(df, sep, mark).csv(path)
+
+
+def write_folders(df: DataFrame, by: str, path: str, name: str, sep: str = SANITIZER_SEPARATOR, mark: bool = True, encoding: str = "UTF-8") -> list[str]:
+    """One folder of part files per value of a column, named by `name` with the value in its braces.
+
+    Written as partitions in one job, whose folders are then renamed."""
+    spark = df.sparkSession
+    fs, root = hadoop_path(spark, path)
+    jvm = spark.sparkContext._jvm
+    work = jvm.org.apache.hadoop.fs.Path(root, "_work")
+    rows = df.withColumn("_folder", F.col(by).cast("string"))
+    csv_writer(rows, sep, mark, encoding).partitionBy("_folder").csv(work.toString())
+    out = []
+    for status in fs.listStatus(work):
+        found = str(status.getPath().getName())
+        if found.startswith("_folder="):
+            value = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(found.split("=", 1)[1])
+            to = jvm.org.apache.hadoop.fs.Path(root, name.format(value))
+            fs.delete(to, True)
+            fs.rename(status.getPath(), to)
+            out.append(str(to.toString()))
+    fs.delete(work, True)
+    return sorted(out)
 
 
 def write_deliverable(df: DataFrame, path: str, sep: str = AUDIT_SEPARATOR) -> int:
@@ -32,16 +65,16 @@ def write_deliverable(df: DataFrame, path: str, sep: str = AUDIT_SEPARATOR) -> i
     return n
 
 
-def write_months(df: DataFrame, path: str, month: str = "mes_entrega") -> None:
-    """One folder per month."""
-    df.write.mode("overwrite").partitionBy(month).option("header", True).csv(path)
+def write_months(df: DataFrame, path: str, month: str = "mes_entrega") -> list[str]:
+    """One folder <month>_LIMPIO.csv per month."""
+    return write_folders(df, month, path, "{}_LIMPIO.csv")
 
 
 def write_parts(numbered: DataFrame, path: str) -> None:
     """One folder per part of numbered rows, in order, with the row number first."""
     columns = ["indice", *[c for c in numbered.columns if c not in ("indice", "parte")]]
     by_part = numbered.repartition("parte").sortWithinPartitions("parte", "indice")
-    by_part.select("parte", *columns).write.mode("overwrite").partitionBy("parte").option("header", True).csv(path)
+    csv_writer(by_part.select("parte", *columns), SANITIZER_SEPARATOR, False).partitionBy("parte").csv(path)
 
 
 def write_indicators(indicators: DataFrame, path: str) -> None:

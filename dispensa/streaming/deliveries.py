@@ -1,7 +1,8 @@
 """Continuous matching of arriving delivery files.
 
-Targets are static, so matching keeps no state; every micro-batch is classified
-and appended, and consolidated from what was written."""
+Targets are static and parsed once, when the query starts, so matching keeps no
+state; every micro-batch is classified and appended, and consolidated from what
+was written.  What a batch writes to the shared folder is deleted at its end."""
 
 from __future__ import annotations
 
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numbers import parse_decimal
-from ..operators.matching import classify, matched_quantities
+from ..operators.matching import classify, matched_quantities, target_index
+from ..scratch import scratch_scope
 
 EVENT_SCHEMA = "descripcion string, codigo string, cantidad string, mes string"
 
@@ -21,10 +23,12 @@ def read_events(spark: SparkSession, folder: str, sep: str = ";", max_files: int
 
 def match_stream(events: DataFrame, primary: DataFrame, secondary: DataFrame | None, out: str, checkpoint: str) -> StreamingQuery:
     """Starts the query; rows go to out/batch=N, so a repeated batch overwrites itself."""
+    first, second = target_index(primary), target_index(secondary) if secondary is not None else None
 
     def handle(batch: DataFrame, number: int) -> None:
-        rows = classify(batch.withColumn("cantidad", parse_decimal(F.col("cantidad"))), primary, secondary)
-        rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        with scratch_scope(batch.sparkSession):
+            rows = classify(batch.withColumn("cantidad", parse_decimal(F.col("cantidad"))), first, second)
+            rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
