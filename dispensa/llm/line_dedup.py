@@ -1,15 +1,24 @@
 """Removal of lines that other documents hold already.
 
 Method: sharded minimal perfect hash.  Documents are handled in chunks.  Each
-chunk hands every shard its distinct line hashes, each with the smallest
-document holding it and whether several do.  A shard builds a minimal perfect
-hash over its distinct hashes, which indexes compact arrays: fingerprint, count
-of documents (up to 2) and smallest document.  All chunks probe these arrays,
-and what is to be dropped goes back to the chunk; lines are never joined.
+chunk offers its distinct line hashes, each with the smallest and the largest
+document holding it, to the hashes' shards.  A shard builds a minimal perfect
+hash over the distinct hashes that several documents hold and publishes the
+compact arrays it indexes: fingerprint, count of documents and smallest
+document.  Documents then probe these arrays: a chunk's hashes come to the
+arrays of their shards (which grow with the corpus and can't be sent to every
+document), the fingerprint rejects lines that aren't shared, and one bit per
+hash goes back, with the owner of those that are.  A chunk knows its hashes'
+order, so neither lines nor their hashes return or are joined.
 
 A line's key is the line without [\\x20\\x09-\\x0D] at both ends, with A-Z in
-lower case.  Keys are told apart by 64 hash bits: two of 10**7 distinct lines
-collide with a chance of about 3e-6.
+lower case.  Keys are told apart by two hashes of 64 bits: one is the place in
+the arrays, the other the fingerprint; keys that agree in the first alone are
+kept beside the arrays.
+
+Shards grow in number with the input (SHARD_BYTES of text each).  A chunk has a
+row for each shard that one of its lines belongs to: a few hundred hashes per row
+at tens of gigabytes, and never more rows than lines.
 
 Null and empty texts are one empty line.  Repeated rows of one doc_id count as
 one document.  Rows without doc_id take no part and keep all their lines.  An
@@ -20,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as V
-from .common import chunk_count, materialize, with_chunk
-
-OFFERS = "chunk int, shard int, lines binary, docs binary, several binary"
-VERDICTS = "chunk int, lines binary, owners binary"
+from .common import chunk_count, input_bytes, materialize, with_chunk
+
+U = np.uint64
+OFFERS = "chunk int, shard int, keys binary, prints binary, low binary, high binary"
+ARRAYS = "shard int, sizes binary, bits binary, rest binary, prints binary, counts binary, owners binary, twins binary"
+ANSWERS = "chunk int, shard int, shared binary, owners binary"
+#: Bytes of text whose lines one shard holds.
+SHARD_BYTES = 64 << 20
 #: Bits a key of the perfect hash's first levels: larger is faster to build, smaller is more compact.
 GAMMA = 2.0
 LEVELS = 40
@@ -40,22 +54,39 @@ class MinimalPerfectHash:
     """Maps n distinct 64-bit keys to 0..n-1: levels of bit arrays, each holding the keys that have a bit to themselves."""
 
     def __init__(self, keys: np.ndarray):
-        self.levels: list[np.ndarray] = []
-        self.ranks: list[np.ndarray] = []
-        base, left = 0, keys
+        levels, left = [], keys
         for level in range(LEVELS):
             if not len(left):
                 break
             size = int(GAMMA * len(left)) + 64
             at = self._slot(left, level, size)
             alone = np.bincount(at, minlength=size) == 1
-            self.levels.append(alone)
+            levels.append(alone)
+            left = left[~alone[at]]
+        self.set(levels, np.sort(left))  # the rest is practically empty
+
+    def set(self, levels: list[np.ndarray], rest: np.ndarray) -> None:
+        self.levels, self.ranks, self.rest, base = levels, [], rest, 0
+        for alone in levels:
             self.ranks.append(base + np.cumsum(alone, dtype=np.int64) - alone)
             base += int(alone.sum())
-            left = left[~alone[at]]
-        self.rest = np.sort(left)  # practically empty
         self.base = base
 
+    def packed(self) -> tuple[bytes, bytes, bytes]:
+        """(sizes of the levels, their bits, the rest)."""
+        sizes = np.array([len(x) for x in self.levels], np.int64)
+        return sizes.tobytes(), b"".join(np.packbits(x).tobytes() for x in self.levels), self.rest.tobytes()
+
+    @classmethod
+    def unpacked(cls, sizes: bytes, bits: bytes, rest: bytes) -> "MinimalPerfectHash":
+        out, levels, at = cls.__new__(cls), [], 0
+        for size in np.frombuffer(sizes, np.int64).tolist():
+            n = -(-size // 8)
+            levels.append(np.unpackbits(np.frombuffer(bits, np.uint8, n, at), count=size).astype(bool))
+            at += n
+        out.set(levels, np.frombuffer(rest, U))
+        return out
+
     @staticmethod
     def _slot(keys: np.ndarray, level: int, size: int) -> np.ndarray:
         return (V.mix(keys + np.uint64((level + 1) * 0xA0761D6478BD642F % 2**64)) >> np.uint64(11)).astype(np.int64) % size
@@ -76,30 +107,58 @@ class MinimalPerfectHash:
         return out
 
 
+def merge(keys: np.ndarray, prints: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(keys, prints, smallest document, largest document, number of entries) of the distinct lines, sorted."""
+    order = np.lexsort((prints, keys))
+    keys, prints, low, high = keys[order], prints[order], low[order], high[order]
+    if not len(keys):
+        return keys, prints, low, high, np.zeros(0, np.int64)
+    at = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (prints[1:] != prints[:-1])])
+    return keys[at], prints[at], np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.diff(np.r_[at, len(keys)])
+
+
+@dataclass
 class LineArrays:
-    """The arrays of one shard, filled from offers and probed by chunks."""
-
-    def __init__(self, lines: list[np.ndarray], docs: list[np.ndarray], several: list[np.ndarray]):
-        keys = np.unique(np.concatenate(lines))
-        self.hash = MinimalPerfectHash(keys)
-        self.mark = np.zeros(len(keys), np.uint32)
-        self.mark[self.hash.index(keys)] = self._print(keys)
-        self.owner = np.full(len(keys), np.iinfo(np.int64).max)
-        self.count = np.zeros(len(keys), np.uint8)
-        for line, doc, more in zip(lines, docs, several, strict=True):
-            at = self.hash.index(line)  # distinct within a chunk, so plain indexing adds up
-            other = (self.count[at] > 0) & (self.owner[at] != doc)
-            self.count[at] = np.where(more | other | (self.count[at] == 2), 2, 1)
-            self.owner[at] = np.minimum(self.owner[at], doc)
+    """The arrays of one shard: for every place of the perfect hash fingerprint, count (of chunks with the line, 2 to 255) and owner."""
+
+    hash: MinimalPerfectHash
+    prints: np.ndarray
+    counts: np.ndarray
+    owners: np.ndarray
+    twins: np.ndarray  # (key, fingerprint, owner) of lines whose key another line has
+
+    @classmethod
+    def build(cls, keys: np.ndarray, prints: np.ndarray, low: np.ndarray, high: np.ndarray) -> "LineArrays":
+        """From offers; lines of one document only are left out."""
+        keys, prints, low, high, entries = merge(keys, prints, low, high)
+        several = low < high
+        keys, prints, low, entries = keys[several], prints[several], low[several], entries[several]
+        twin = np.zeros(len(keys), bool)
+        twin[1:] = keys[1:] == keys[:-1]
+        own = keys[~twin]
+        out = cls(MinimalPerfectHash(own), np.zeros(len(own), U), np.zeros(len(own), np.uint8), np.zeros(len(own), np.int64), np.stack([keys[twin], prints[twin], low[twin].view(U)]))
+        at = out.hash.index(own)
+        out.prints[at], out.owners[at], out.counts[at] = prints[~twin], low[~twin], np.clip(entries[~twin], 2, 255)
+        return out
 
-    @staticmethod
-    def _print(keys: np.ndarray) -> np.ndarray:
-        return (V.mix(keys ^ np.uint64(0xE7037ED1A0B428DB)) >> np.uint64(32)).astype(np.uint32)
+    def packed(self) -> tuple[bytes, ...]:
+        return (*self.hash.packed(), self.prints.tobytes(), self.counts.tobytes(), self.owners.tobytes(), self.twins.tobytes())
 
-    def probe(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(whether several documents hold the key, the smallest that does)."""
-        at = self.hash.index(keys)
-        return (self.mark[at] == self._print(keys)) & (self.count[at] > 1), self.owner[at]
+    @classmethod
+    def unpacked(cls, sizes: bytes, bits: bytes, rest: bytes, prints: bytes, counts: bytes, owners: bytes, twins: bytes) -> "LineArrays":
+        return cls(MinimalPerfectHash.unpacked(sizes, bits, rest), np.frombuffer(prints, U), np.frombuffer(counts, np.uint8), np.frombuffer(owners, np.int64), np.frombuffer(twins, U).reshape(3, -1))
+
+    def probe(self, keys: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether several documents hold the line, the smallest that does) for any lines."""
+        shared, owner = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+        if len(self.prints):
+            at = self.hash.index(keys)
+            shared, owner = (self.prints[at] == prints) & (self.counts[at] > 1), self.owners[at].copy()
+        for key, mark, first in self.twins.T:
+            hit = (keys == key) & (prints == mark)
+            shared |= hit
+            owner[hit] = first.astype(np.int64)
+        return shared, owner
 
 
 def split_lines(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,100 +170,138 @@ def split_lines(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, ends, np.repeat(np.arange(len(off) - 1), count)
 
 
-def line_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(whether the key has at least `least` code points, hash of the key) of each line."""
+def line_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(whether the key has at least `least` code points, the two hashes of the key) of each line."""
     solid = np.flatnonzero(~V.SPACE[data])
     a, b = np.searchsorted(solid, starts), np.searchsorted(solid, ends)
     full = b > a
     if not full.any():
-        return full, np.zeros(len(starts), np.uint64)
+        return full, np.zeros(len(starts), U), np.zeros(len(starts), U)
     first = np.where(full, solid[np.minimum(a, len(solid) - 1)], starts)
     last = np.where(full, solid[np.maximum(b - 1, 0)] + 1, first)
     points = V.code_points(data)
-    return full & (points[last] - points[first] >= least), V.hashes(data, first, last, V.LOWER)
+    return full & (points[last] - points[first] >= least), V.hashes(data, first, last, V.LOWER), V.hashes(data, first, last, V.SECOND)
+
+
+@dataclass
+class Lines:
+    """The lines of one slice of a chunk that take part, and where all its lines are."""
 
+    first: int  # document, as its place in the chunk
+    end: int
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    doc: np.ndarray  # of every line, from `first`
+    usable: np.ndarray
+    keys: np.ndarray
+    prints: np.ndarray
 
-def _lines(table: pa.Table | pa.RecordBatch, least: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, tuple]]:
-    """Slices of a group: (first document, end, lines' document, usable, hashes, (data, starts, ends, count of lines))."""
+
+def _lines(table: pa.Table, least: int) -> tuple[np.ndarray, Iterator[Lines]]:
+    """(doc_ids, the lines by slices) of a chunk."""
+    known = table.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+    ids = np.where(known, table.column("doc_id").to_numpy(zero_copy_only=False), 0).astype(np.int64)
     data, off = V.flat(table.column("text"))
-    for first, end, part, offsets in V.slices(data, off):
-        starts, ends, doc = split_lines(part, offsets)
-        usable, keys = line_keys(part, starts, ends, least)
-        yield first, end, doc, usable, (keys, part, starts, ends)
+
+    def slices() -> Iterator[Lines]:
+        for first, end, part, offsets in V.slices(data, off):
+            starts, ends, doc = split_lines(part, offsets)
+            usable, keys, prints = line_keys(part, starts, ends, least)
+            yield Lines(first, end, part, starts, ends, doc, usable & known[first + doc], keys, prints)
+
+    return ids, slices()
+
+
+def _distinct(ids: np.ndarray, found: Iterator[Lines]) -> tuple[np.ndarray, ...]:
+    """The distinct lines of a chunk in the order of its offers (within a shard: sorted), as merge() gives them."""
+    keys, prints, docs = [np.zeros(0, U)], [np.zeros(0, U)], [np.zeros(0, np.int64)]
+    for x in found:
+        keys.append(x.keys[x.usable])
+        prints.append(x.prints[x.usable])
+        docs.append(ids[x.first + x.doc[x.usable]])
+    doc = np.concatenate(docs)
+    return merge(np.concatenate(keys), np.concatenate(prints), doc, doc)
+
+
+def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, places of its keys in order)."""
+    shard = (V.mix(keys) % U(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    cut = np.flatnonzero(np.r_[True, shard[order][1:] != shard[order][:-1], True]) if len(keys) else np.zeros(1, np.int64)
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        yield int(shard[order[a]]), order[a:b]
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.table({name: pa.array([r[i] for r in rows], pa.int32() if kind == "int" else pa.binary()) for i, (name, kind) in enumerate(fields)})
 
 
 def _offer(least: int, shards: int):
     def offer(table: pa.Table) -> pa.Table:
-        ids = table.column("doc_id").to_numpy(zero_copy_only=False)
-        known = table.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-        ids = np.where(known, ids, 0).astype(np.int64)
-        keys, docs = [], []
-        for first, _, doc, usable, (hashes, *_) in _lines(table, least):
-            usable = usable & known[first + doc]
-            keys.append(hashes[usable])
-            docs.append(ids[first + doc[usable]])
-        key, doc = np.concatenate(keys) if keys else np.zeros(0, np.uint64), np.concatenate(docs) if docs else np.zeros(0, np.int64)
-        order = np.lexsort((doc, key))
-        key, doc = key[order], doc[order]
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        at = np.flatnonzero(new)
-        last = np.append(at[1:], len(key)) - 1
-        key, smallest, several = key[at], doc[at], doc[last] != doc[at] if len(at) else np.zeros(0, bool)
-        shard = (key % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-        rows = [(s, order[a:b]) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+        keys, prints, low, high, _ = _distinct(*_lines(table, least))
         chunk = table.column("chunk")[0].as_py()
-        return pa.table({
-            "chunk": pa.array([chunk] * len(rows), pa.int32()), "shard": pa.array([s for s, _ in rows], pa.int32()),
-            "lines": pa.array([key[i].tobytes() for _, i in rows], pa.binary()), "docs": pa.array([smallest[i].tobytes() for _, i in rows], pa.binary()),
-            "several": pa.array([several[i].tobytes() for _, i in rows], pa.binary()),
-        })
+        return _table([(chunk, s, keys[i].tobytes(), prints[i].tobytes(), low[i].tobytes(), high[i].tobytes()) for s, i in _by_shard(keys, shards)], OFFERS)
 
     return offer
 
 
-def _judge(table: pa.Table) -> pa.Table:
-    """One shard: build the arrays from all offers, let every chunk probe them."""
-    chunks = table.column("chunk").to_pylist()
-    lines = [np.frombuffer(x, np.uint64) for x in table.column("lines").to_pylist()]
-    docs = [np.frombuffer(x, np.int64) for x in table.column("docs").to_pylist()]
-    several = [np.frombuffer(x, bool) for x in table.column("several").to_pylist()]
-    arrays = LineArrays(lines, docs, several)
+def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _build(offers: pa.Table) -> pa.Table:
+    """One shard's arrays, from all offers."""
+    arrays = LineArrays.build(_joined(offers.column("keys"), U), _joined(offers.column("prints"), U), _joined(offers.column("low"), np.int64), _joined(offers.column("high"), np.int64))
+    return _table([(offers.column("shard")[0].as_py(), *arrays.packed())], ARRAYS)
+
+
+def _probe(offers: pa.Table, published: pa.Table) -> pa.Table:
+    """One shard: the answer to every chunk's lines, in their order."""
+    if not published.num_rows:
+        return _table([], ANSWERS)
+    arrays = LineArrays.unpacked(*[published.column(f.split()[0])[0].as_py() for f in ARRAYS.split(", ")[1:]])
     out = []
-    for chunk, line in zip(chunks, lines, strict=True):
-        shared, owner = arrays.probe(line)
+    for chunk, shard, keys, prints in zip(*(offers.column(c).to_pylist() for c in ("chunk", "shard", "keys", "prints")), strict=True):
+        shared, owner = arrays.probe(np.frombuffer(keys, U), np.frombuffer(prints, U))
         if shared.any():
-            out.append((chunk, line[shared].tobytes(), owner[shared].tobytes()))
-    return pa.table({"chunk": pa.array([x[0] for x in out], pa.int32()), "lines": pa.array([x[1] for x in out], pa.binary()), "owners": pa.array([x[2] for x in out], pa.binary())})
-
-
-def _rewrite(least: int):
-    def rewrite(docs: pa.Table, verdicts: pa.Table) -> pa.Table:
-        lines = np.concatenate([np.frombuffer(x, np.uint64) for x in verdicts.column("lines").to_pylist()] or [np.zeros(0, np.uint64)])
-        owners = np.concatenate([np.frombuffer(x, np.int64) for x in verdicts.column("owners").to_pylist()] or [np.zeros(0, np.int64)])
-        order = np.argsort(lines, kind="stable")
-        lines, owners = lines[order], owners[order]
-        known = docs.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-        ids = np.where(known, docs.column("doc_id").to_numpy(zero_copy_only=False), 0).astype(np.int64)
+            out.append((chunk, shard, np.packbits(shared).tobytes(), owner[shared].tobytes()))
+    return _table(out, ANSWERS)
+
+
+def _rewrite(least: int, shards: int):
+    def rewrite(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, found = _lines(docs, least)
+        slices = list(found)
+        keys, prints, *_ = _distinct(ids, iter(slices))
+        owner = np.full(len(keys), -1, np.int64)
+        shared = np.zeros(len(keys), bool)
+        told = {s: (bits, owners) for s, bits, owners in zip(*(answers.column(c).to_pylist() for c in ("shard", "shared", "owners")), strict=True)}
+        for s, i in _by_shard(keys, shards) if told else ():
+            if s in told:
+                hit = i[np.unpackbits(np.frombuffer(told[s][0], np.uint8), count=len(i)).astype(bool)]
+                shared[hit], owner[hit] = True, np.frombuffer(told[s][1], np.int64)
+        keys, prints, owner = keys[shared], prints[shared], owner[shared]
         n_lines, n_dropped, texts = np.zeros(docs.num_rows, np.int64), np.zeros(docs.num_rows, np.int64), []
-        for first, end, doc, usable, (keys, data, starts, ends) in _lines(docs, least):
-            drop = np.zeros(len(doc), bool)
-            if len(lines):
-                at = np.minimum(np.searchsorted(lines, keys), len(lines) - 1)
-                drop = usable & known[first + doc] & (lines[at] == keys) & (owners[at] != ids[first + doc])
-            n_lines[first:end] = np.bincount(doc, minlength=end - first)
-            n_dropped[first:end] = np.bincount(doc[drop], minlength=end - first)
-            edge = np.searchsorted(doc, np.arange(end - first + 1))
-            raw = data.tobytes()
-            for i in range(end - first):
+        for x in slices:
+            drop = np.zeros(len(x.doc), bool)
+            if len(keys):
+                # twins of one key follow each other; there are practically none
+                for step in range(int(np.bincount(np.unique(keys, return_inverse=True)[1]).max())):
+                    at = np.minimum(np.searchsorted(keys, x.keys) + step, len(keys) - 1)
+                    drop |= x.usable & (keys[at] == x.keys) & (prints[at] == x.prints) & (owner[at] != ids[x.first + x.doc])
+            size = x.end - x.first
+            n_lines[x.first : x.end] = np.bincount(x.doc, minlength=size)
+            n_dropped[x.first : x.end] = np.bincount(x.doc[drop], minlength=size)
+            edge = np.searchsorted(x.doc, np.arange(size + 1))
+            raw = x.data.tobytes()
+            for i in range(size):
                 a, b = edge[i], edge[i + 1]
-                if n_dropped[first + i]:
-                    keep = a + np.flatnonzero(~drop[a:b])
-                    texts.append(b"\n".join(raw[starts[j] : ends[j]] for j in keep))
+                if n_dropped[x.first + i]:
+                    texts.append(b"\n".join(raw[x.starts[j] : x.ends[j]] for j in a + np.flatnonzero(~drop[a:b])))
                 else:
-                    texts.append(raw[starts[a] : ends[b - 1]])
+                    texts.append(raw[x.starts[a] : x.ends[b - 1]])
         return (
             docs.drop_columns(["text", "chunk"])
             .append_column("text", pa.array(texts, pa.binary()).cast(pa.string()))
@@ -222,10 +319,13 @@ def drop_shared_lines(docs: DataFrame, least: int = 10, keep: list[str] | None =
     docs: doc_id, text.  keep: further columns to carry along.  Returns doc_id,
     those columns, text (without the lines), n_lines (before), n_dropped, kept_sha256."""
     n = chunk_count(docs)
+    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(docs) // SHARD_BYTES), 1)
     extra = [c for c in keep or [] if c not in ("doc_id", "text", "chunk", "n_lines", "n_dropped", "kept_sha256")]
     rows = with_chunk(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *extra, F.col("text").cast("string").alias("text")), n)
-    offers = rows.select("chunk", "doc_id", "text").groupBy("chunk").applyInArrow(_offer(least, n), OFFERS)
-    verdicts = materialize(offers.groupBy("shard").applyInArrow(_judge, VERDICTS), "line-verdicts")
-    fields = [f"{name} {kind}" for name, kind in rows.dtypes if name not in ("text", "chunk")]
+    offers = materialize(rows.select("chunk", "doc_id", "text").groupBy("chunk").applyInArrow(_offer(least, shards), OFFERS), "line-offers")
+    arrays = materialize(offers.groupBy("shard").applyInArrow(_build, ARRAYS), "line-arrays")
+    asked = offers.select("chunk", "shard", "keys", "prints")
+    answers = asked.groupBy("shard").cogroup(arrays.groupBy("shard")).applyInArrow(_probe, ANSWERS)
+    fields = [f"`{name}` {kind}" for name, kind in rows.dtypes if name not in ("text", "chunk")]
     schema = ", ".join([*fields, "text string, n_lines long, n_dropped long, kept_sha256 string"])
-    return rows.groupBy("chunk").cogroup(verdicts.groupBy("chunk")).applyInArrow(_rewrite(least), schema)
+    return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_rewrite(least, shards), schema)

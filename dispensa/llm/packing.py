@@ -7,7 +7,8 @@ best-fit again, and so on up to a single root.  Two bins that are both at most
 half full never leave a node apart, so a node keeps at most one of these; a bin
 over half full can only take one of them, so a node hands up no more such bins
 than there are partitions (those with the most room), and emits the others.
-The root's input is therefore bounded by the number of partitions, not of documents.
+The root's input is therefore bounded by the number of partitions, not of
+documents.  Partitions grow in number with the pieces (PART_PIECES each).
 
 Null and empty texts are one end token.  Repeated rows are packed once each.
 An empty table gives an empty result.  Extra columns are ignored."""
@@ -32,6 +33,8 @@ PLACED = PIECES + ", part int, bin long, offset long, fill long, up boolean"
 BINS = "part int, bin long, fill long"
 MOVES = "part int, bin long, to_bin long, shift long, fill long, up boolean"
 FAN = 16
+#: Pieces that one partition packs at once.
+PART_PIECES = 200_000
 #: A bin with at most this many free places counts as nearly full.
 SLACK = 16
 
@@ -111,25 +114,29 @@ def _node(pdf: pd.DataFrame, capacity: int, slack: int, parts: int, last: bool)
     return pd.DataFrame({"part": pdf["part"] // FAN, "bin": pdf["bin"], "to_bin": first[bin_of], "shift": shift, "fill": fills[bin_of], "up": up[bin_of]})
 
 
+def _nodes(capacity: int, slack: int, parts: int, last: bool):
+    return lambda pdf: _node(pdf, capacity, slack, parts, last)
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, slack: int = SLACK, partitions: int | None = None) -> DataFrame:
     """Pieces of all documents with their sequence and their place in it.
 
     docs: doc_id, text.  Returns doc_id, piece, start, length, ids_crc32,
     sequence_id, offset; offsets in a sequence are gapless from 0."""
     spark = docs.sparkSession
-    parts = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     pieces = rows.mapInArrow(partial(_pieces, path=tokenizer, capacity=capacity, end_id=end_id), PIECES)
     pieces = materialize(pieces, "pieces")
+    parts = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-pieces.count() // PART_PIECES))
     dealt = pieces.withColumn("part", F.pmod(F.xxhash64("row_id", "piece"), F.lit(parts)).cast("int"))
-    placed = materialize(dealt.groupBy("part").applyInPandas(partial(_local, capacity=capacity, slack=slack, parts=parts), PLACED), "placed")
+    placed = materialize(dealt.groupBy("part").applyInPandas(lambda pdf: _local(pdf, capacity, slack, parts), PLACED), "placed")
 
     bins, width, moves = placed.where("up").select("part", "bin", "fill").distinct(), parts, []
     where = placed.select("doc_id", "piece", "start", "length", "ids_crc32", "bin", "offset")
     while width > 1:
         width = -(-width // FAN)
         nodes = bins.withColumn("node", F.floor(F.col("part") / FAN)).groupBy("node")
-        moved = materialize(nodes.applyInPandas(partial(_node, capacity=capacity, slack=slack, parts=parts, last=width == 1), MOVES), "moves")
+        moved = materialize(nodes.applyInPandas(_nodes(capacity, slack, parts, width == 1), MOVES), "moves")
         moves.append(moved)
         bins = moved.where("up").select("part", F.col("to_bin").alias("bin"), "fill").distinct()
     for moved in moves:

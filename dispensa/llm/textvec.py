@@ -22,6 +22,8 @@ _rng = np.random.default_rng(20240607)
 RAW = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 LOWER = RAW.copy()
 LOWER[65:91] = RAW[97:123]  # A-Z hash as a-z
+SECOND = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)  # of a second hash, A-Z as a-z
+SECOND[65:91] = SECOND[97:123]
 _BASE = U(0x9E3779B97F4A7C15)
 _BASE_INV = U(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, U), "down": np.ones(1, U)}

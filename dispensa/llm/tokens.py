@@ -41,7 +41,7 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.whole.get_added_tokens_decoder().values()]
         self.fast = self._ranked(path)
         self.forget()
 
@@ -129,13 +129,14 @@ class ChunkEncoder:
         data, off = V.flat(column)
         for first, end, part, offsets in V.slices(data, off):
             ids, at = self.encode_slice(part, offsets)
-            plain = np.zeros(end - first, bool)
-            if part.max(initial=0) < 128:
-                plain[:] = ~np.isin(part, [0x1C, 0x1D, 0x1E, 0x1F]).any()
+            raw = part.tobytes()
+            added = [t for t in self.added if t in raw]
+            plain = not added and part.max(initial=0) < 128 and not np.isin(part, [0x1C, 0x1D, 0x1E, 0x1F]).any()
             for i in range(end - first):
-                if not plain[i]:
-                    text = part[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace")
-                    if ODD_SPACE.search(text):
+                if not plain:
+                    own = raw[offsets[i] : offsets[i + 1]]
+                    text = own.decode("utf-8", "replace")
+                    if ODD_SPACE.search(text) or any(t in own for t in added):
                         yield np.asarray(self.whole.encode(text, add_special_tokens=False).ids, np.int32)
                         continue
                 yield ids[at[i] : at[i + 1]]

@@ -180,7 +180,7 @@ class Model:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     bias: float = 0.0
     slope: float = 0.0
-    shift: float = -800.0  # an untrained model scores 0
+    shift: float = 0.0
     begins: np.ndarray | None = None  # the first two bytes of landmarks
     reach: int = 0
 
@@ -254,6 +254,8 @@ class Model:
         return out
 
     def scores(self, margins: np.ndarray) -> np.ndarray:
+        if not self.landmarks:
+            return np.zeros(len(margins))
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -700, 700)))
 
 

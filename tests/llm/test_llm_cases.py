@@ -46,21 +46,93 @@ def operators(labels):
     }
 
 
-@pytest.mark.parametrize("name", sorted(operators(None)))
-def test_odd_rows(docs, labels, name):
-    assert operators(labels)[name](docs).count() == len(ROWS)
+COPY = "one two three four five six\nline that is shared\n"
+
+
+def values(found, *columns):
+    """Rows as tuples of these columns, sorted (nulls first), after evaluating all columns."""
+    rows = [tuple(r[c] for c in columns) for r in found.collect()]
+    return sorted(rows, key=lambda r: tuple((x is not None, x) for x in r))
+
+
+def test_odd_quality(docs):
+    found = values(quality_rules.judge_quality(docs), "doc_id", "n_words", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    assert found == [(None, 6, 0, 0, True, False), (1, 10, 0, 0, True, False), (1, 10, 0, 0, True, False), (2, 0, 0, 0, True, False), (3, 0, 0, 0, True, False),
+                     (4, 0, 0, 0, True, False), (5, 90_000, 0, 90_000, True, False), (6, 9, 0, 0, True, False)]
+
+
+def test_odd_near(docs):
+    sets = {1: 6, 2: 0, 3: 0, 4: 0, 5: 3, 6: 5}
+    found = values(minhash_dedup.near_duplicates(docs), "doc_id", "n_shingles", "component_id", "kept")
+    assert found == [(None, 2, None, True), *[(i, n, i, True) for i, n in sorted([*sets.items(), (1, 6)])]]
+    kept = minhash_dedup.near_duplicates(docs, keep=["text", "source", "label"])
+    assert values(kept, "doc_id", "component_id", "kept", "label") == [(None, None, True, "x"), *[(i, i, True, "x") for i in sorted([*sets, 1])]]
+    assert {(r["doc_id"], r["text"], r["source"]) for r in kept.collect()} == {r[:3] for r in ROWS}
+
+
+def test_odd_toxic(spark, docs, labels):
+    bare = toxicity.score_documents(docs, labels, keep=["source", "kept"])
+    assert values(bare, "doc_id", "score", "predicted", "kept") == [(i, 0.0, 0, "x") for i in (None, 1, 1, 2, 3, 4, 5, 6)]  # no landmark to learn
+    words = spark.createDataFrame([(i, f"number {i} is a moronic thing" if i % 2 else f"number {i} is a green thing") for i in range(10, 60)], "doc_id long, text string")
+    marks = words.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    model = toxicity.train(words.unionByName(docs.select("doc_id", "text")), marks)
+    found = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs.unionByName(words, allowMissingColumns=True), marks.unionByName(labels.where("false")), keep=["source"]).collect()}
+    assert model.landmarks and found[2] == found[3] == found[4] == found[5] < 0.5 < found[11]
+
+
+def test_odd_lines(docs):
+    found = values(line_dedup.drop_shared_lines(docs, keep=["source", "chunk"]), "doc_id", "text", "n_lines", "n_dropped", "source")
+    assert found == [(None, "no id\nline that is shared", 2, 0, "b"), (1, COPY, 3, 0, "a"), (1, COPY, 3, 0, "a"), (2, "", 1, 0, None), (3, "", 1, 0, "b"), (4, " \t\n ", 2, 0, "b"),
+                     (5, LONG, 1, 0, None), (6, "Línea única: ñandú — 日本", 2, 1, "é")]
+
+
+def test_odd_model(docs):
+    found = values(lm_scoring.score_documents(docs), "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "n_bytes", "base_score", "score")
+    assert [r[:3] for r in found] == [(i, h, n) for (i, n), h in zip([(None, 7), (1, 11), (1, 11), (2, 1), (3, 1), (4, 1), (5, 90_001), (6, 10)], [r[1] for r in found], strict=True)]
+    assert all(r[6] < 0 and r[7] < 0 and r[3] <= r[2] for r in found) and len({r[4] for r in found}) == 1
+    assert [r[5] for r in found if r[0] in (2, 3, 4)] == [1, 1, 1]
+
+
+def test_odd_mix(docs):
+    found = values(source_mix.mix_sources(docs, keep=["text", "source"]), "doc_id", "source", "size", "source_size", "taken", "copies")
+    sizes = {None: 6, 1: 10, 2: 0, 3: 0, 4: 0, 5: 90_000, 6: 9}
+    assert [(r[0], r[2]) for r in found] == [(i, sizes[i]) for i in (None, 1, 1, 2, 3, 4, 5, 6)]
+    assert {r[1]: r[3] for r in found} == {"a": 20, "b": 6, "é": 9, None: 90_000}
+    assert all(r[4] == r[2] * r[5] and 0 <= r[5] <= 3 for r in found)
+
+
+def test_odd_media(docs):
+    found = values(media_ts.media_features(media_ts.store_media(docs)), "doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+    texts = [None, *sorted(i for i, *_ in ROWS if i is not None)]
+    by_id = {r[0]: r[1] or "" for r in ROWS}
+    for row, i in zip(found, texts, strict=True):
+        raw = by_id[i].encode()
+        payload = raw + bytes(-len(raw) % 64 if raw else 64)
+        assert row == (i, len(raw), len(payload), hashlib.sha256(payload).hexdigest())
 
 
 @pytest.mark.parametrize("name", sorted(operators(None)))
 def test_empty_table(docs, labels, name):
-    assert operators(labels)[name](docs.limit(0)).count() == 0
+    assert operators(labels)[name](docs.limit(0)).collect() == []
+
+
+def test_long_turns(spark):
+    text = "wörd </s> " * 50_000
+    turns = spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    found = chat_format.read_conversations(chat_format.format_conversations(turns, TOKENIZER), TOKENIZER).first()
+    assert (found["loss_chars"], found["loss_sha256"]) == (len(text), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_warc_empty(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert warc.read_archives(spark, warc.write_archives(pages)).collect() == []
 
 
 def test_packing_odd_rows(docs):
     pieces = packing.pack_documents(docs, TOKENIZER, partitions=20).collect()
     assert sorted({r["doc_id"] for r in pieces if r["doc_id"] is not None}) == [1, 2, 3, 4, 5, 6]
     assert [r["length"] for r in pieces if r["doc_id"] in (2, 3)] == [1, 1]
-    assert packing.pack_documents(docs.limit(0), TOKENIZER).count() == 0
+    assert packing.pack_documents(docs.limit(0), TOKENIZER).collect() == []
 
 
 def test_lines(spark, docs):
@@ -76,6 +148,22 @@ def test_perfect_hash():
     assert sorted(found.index(keys).tolist()) == list(range(len(keys)))
 
 
+def test_line_arrays():
+    """Published arrays: shared lines only, lines with one key apart, any other line rejected by its fingerprint."""
+    rng = np.random.default_rng(2)
+    keys, prints = rng.integers(0, 2**63, 5000, dtype=np.uint64), rng.integers(0, 2**63, 5000, dtype=np.uint64)
+    keys[11] = keys[12] = keys[10]  # three lines, one key
+    low = np.arange(5000)
+    high = np.where(low % 3 == 0, low, low + 1)  # every third line is in one document
+    arrays = line_dedup.LineArrays.unpacked(*line_dedup.LineArrays.build(keys, prints, low, high).packed())
+    shared, owner = arrays.probe(keys, prints)
+    assert (shared == (low < high)).all() and (owner[shared] == low[shared]).all() and len(arrays.prints) < 3400
+    assert not arrays.probe(keys, prints + np.uint64(1))[0].any()
+    assert not arrays.probe(*rng.integers(0, 2**63, (2, 5000), dtype=np.uint64))[0].any()
+    empty = line_dedup.LineArrays.unpacked(*line_dedup.LineArrays.build(*[np.zeros(0, np.uint64)] * 2, *[np.zeros(0, np.int64)] * 2).packed())
+    assert not empty.probe(keys, prints)[0].any()
+
+
 def test_near_duplicates(spark):
     base = [f"w{i}" for i in range(200)]
     near = base[:100] + ["x"] + base[101:]
@@ -140,10 +228,12 @@ def test_pack_tree():
 
 
 def test_tokens():
-    found = tokens.encoder(TOKENIZER)
-    odd = ["", "  a  b \n\n c", "it's  we'll \t x", "日本語 テキスト　x", "<|endoftext|> hi", "a\r\n\r\nb  ", " ", "a  \n\nb", None, "x" * 5000, "\x1ca b\x1f c", "word. word, word", "1.000,5 %"]
+    from tokenizers import Tokenizer
+
+    found, loaded = tokens.encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    odd = ["", "  a  b \n\n c", "it's  we'll \t x", "日本語 テキスト　x", "<|endoftext|> hi", "hi <|endoftext|> you", "x<|endoftext|>", "<|endoftext |>", "a\r\n\r\nb  ", " ", "a  \n\nb", None, "x" * 5000, "\x1ca b\x1f c", "word. word, word", "1.000,5 %"]
     for text, ids in zip(odd, found.documents(pa.array(odd)), strict=True):
-        assert ids.tolist() == found.whole.encode(text or "", add_special_tokens=False).ids
+        assert ids.tolist() == loaded.encode(text or "", add_special_tokens=False).ids
 
 
 def test_chat(spark):

@@ -131,7 +131,6 @@ def test_packing(spark, documents):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     pieces = QUERIES["op8_best_fit_packing"](spark, DATA).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in pieces:
