@@ -2,22 +2,30 @@
 
 Method: chosen-path set similarity join.  Every distinct shingle set is embedded
 as COORDS minwise tokens.  Each of TREES independent trees sends it down a path:
-a node picks one of the minwise tokens (now and then two, at random from the
-node's own seed, so that the expected number of surviving paths of a similar
-pair stays about one) and the sets with the same token share the child.  Nodes
-of up to `limit` sets are compared exhaustively by their sketches, and the
-candidates are confirmed on full sets.  A pair at similarity s reaches a small
-first-level node of one tree with chance s, so of TREES trees all miss a pair at
-0.85 with a chance of 0.15**16 = 7e-14; deeper nodes lower this (see README).
+a node picks one of the minwise tokens (and in a share of 1 / s - 1 of the nodes
+two, at random from the node's own seed, so that a pair of similarity s is
+expected to share one child) and the sets with the same token share the child.
+Nodes of up to `limit` sets and NODE_BYTES of shingles are compared exhaustively
+by their sketches, and the candidates are confirmed on full sets.
+
+Recall: a pair at similarity s reaches a small first-level node of one tree with
+chance s, so of TREES trees all miss a pair at 0.85 with a chance of 7e-14, at
+0.80 of 7e-12.  A pair whose first-level nodes are all large is lost with the
+chance that it shares no node further down (`pair_recall`): at 0.85 by level 4
+6e-7, level 8 1.3e-4, level 10 5e-4; at 0.80 1e-5, 9e-4 and 3e-3.  Candidates by
+sketches are admitted DEVIATIONS below the threshold (lost: 3e-6).
 
 Groups of copies are never expanded.  Sets that are equal are one.  Of a node,
 first a forest is tested: every set against a central one (the set that agrees
 best with the majority of the node).  Pairs that are connected already are not
 looked at again; only pairs between different components are compared further,
-each in the first node where it meets.  Nodes that stay large at full depth are compared block by block, without a cap.
+each in the first node where it meets.  Nodes that stay large at full depth are
+compared block by block, without a cap: each of their members is repeated once
+per block, the one step that grows with the square of a node's size.
 
 Shingles: five words [^\\x20\\x09-\\x0D]+ after A-Z are lower-cased; fewer words
-are one shingle; sets compare 64-bit hashes.  Null and empty texts have no set,
+are one shingle; a set is the 64-bit hashes of its shingles.  Sets are told apart
+by 128 bits of them, and numbered for everything after.  Null and empty texts have no set,
 and so have texts without words: they are linked with nothing.  Repeated rows
 are one set and stay repeated.  Rows of one doc_id with different texts are
 judged each by its own text.  Rows without doc_id are linked with nothing and
@@ -43,8 +51,10 @@ COORDS = 192
 TREES = 16
 LIMIT = 4096
 DEPTH = 10
-#: One in so many nodes below the first level picks two tokens: about 1 / 0.85 - 1.
-EXTRA = 6
+#: Shingles (8 bytes each) of all members of a small node: what one worker holds at once.
+NODE_BYTES = 32 << 20
+#: Bytes of members, or of their shingles, that one task handles together.
+TASK_BYTES = 48 << 20
 #: A sketch agrees by s +- sqrt(s (1 - s) / COORDS); candidates may lie this many deviations below the threshold.
 DEVIATIONS = 4.5
 CENTRES = 3
@@ -52,7 +62,7 @@ CENTRES = 3
 _rng = np.random.default_rng(77)
 _XOR = _rng.integers(0, 2**64, COORDS, dtype=np.uint64)
 _ODD = _rng.integers(0, 2**63, COORDS, dtype=np.uint64) * U(2) + U(1)
-SIGNED = "doc_id long, n_shingles long, set_id long, sketch binary, tokens array<long>"
+SIGNED = "doc_id long, n_shingles long, key binary, sketch binary, tokens array<long>"
 EDGES = "a long, b long"
 #: Members of nodes that one task handles together, and of one node that share their centres.
 TOGETHER = 20_000
@@ -90,8 +100,17 @@ def minwise(shingles: np.ndarray) -> np.ndarray:
     return V.mix(out)
 
 
-def set_id(shingles: np.ndarray) -> int:
-    return int.from_bytes(hashlib.md5(shingles.tobytes()).digest()[:8], "little", signed=True)
+def set_key(shingles: np.ndarray) -> bytes | None:
+    return hashlib.md5(shingles.tobytes()).digest() if len(shingles) else None
+
+
+def pair_recall(s: float, level: int, trees: int = TREES) -> float:
+    """Chance that a pair at similarity s shares a node of this level of any tree."""
+    double, shared = min(1.0, 1 / s - 1), 1.0
+    for _ in range(level - 1):
+        missed = 1 - s * shared
+        shared = 1 - (1 - double) * missed - double * missed**2
+    return 1 - (1 - s * shared) ** trees  # a first-level node is one token
 
 
 def _sign(words: int, marked: bool):
@@ -102,12 +121,12 @@ def _sign(words: int, marked: bool):
             for s in shingle_sets(batch.column("text"), words):
                 n.append(len(s))
                 values = minwise(s) if len(s) else None
-                names.append(set_id(s) if len(s) else None)
+                names.append(set_key(s))
                 sketches.append((values >> U(32)).astype(np.uint8).tobytes() if len(s) else None)
                 tokens.append(V.mix(values[:TREES] ^ seed).view(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(names, pa.int64()), pa.array(sketches, pa.binary()), pa.array(tokens, pa.list_(pa.int64())), *(batch.column(c) for c in ["mark"] * marked)],
-                names=["doc_id", "n_shingles", "set_id", "sketch", "tokens", *["mark"] * marked],
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(names, pa.binary()), pa.array(sketches, pa.binary()), pa.array(tokens, pa.list_(pa.int64())), *(batch.column(c) for c in ["mark"] * marked)],
+                names=["doc_id", "n_shingles", "key", "sketch", "tokens", *["mark"] * marked],
             )
 
     return sign
@@ -117,9 +136,9 @@ def _sets(words: int, packed: bool):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = list(shingle_sets(batch.column("text"), words))
-            names = pa.array([set_id(s) for s in found], pa.int64())
+            names = pa.array([set_key(s) for s in found], pa.binary())
             shingles = pa.array([s.tobytes() for s in found], pa.binary()) if packed else pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), names, shingles], names=["doc_id", "set_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), names, shingles], names=["doc_id", "key", "shingles"])
 
     return sets
 
@@ -221,11 +240,25 @@ def _linked(node: Node, least: float, num: int, den: int) -> list[tuple]:
     return out
 
 
+def _views(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The sorted shingles of every row, without copies."""
+    out = []
+    for chunk in column.chunks:
+        _, offsets, data = chunk.cast(pa.large_binary()).buffers()
+        if not len(chunk):
+            continue
+        at = np.frombuffer(offsets, np.int64)[chunk.offset : chunk.offset + len(chunk) + 1] // 8
+        whole = np.frombuffer(data, np.uint8)[: at[-1] * 8].view(U) if data is not None else np.zeros(0, U)
+        out += [whole[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+    return out
+
+
 def _each_node(members: DataFrame, handle_node, result: str, where: bool = False) -> DataFrame:
     """Rows that handle_node makes of every (node, part), with these if `where`: many nodes share a task, none is split."""
     spark = members.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), members.count() // TOGETHER)
     labelled, full = "label" in members.columns, "shingles" in members.columns
+    held = members.agg(F.sum(F.length("sketch") + 64 + (F.length("shingles") if full else 0))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held // (TASK_BYTES if full else TOGETHER * (COORDS + 64))))
 
     def handle(table: pa.Table) -> pa.Table:
         node, part, ids = (table.column(c).to_numpy() for c in ("node", "part", "set_id"))
@@ -234,8 +267,8 @@ def _each_node(members: DataFrame, handle_node, result: str, where: bool = False
         more = [table.column(c).to_numpy()[order] for c in ("label", "side", "level", "small")] if labelled else []
         if labelled:
             more.append(np.frombuffer(b"".join(table.column("tokens").to_pylist()), "<u4").reshape(-1, TREES)[order])
-        raw = table.column("shingles").to_pylist() if full else []
-        sets = [np.frombuffer(raw[k], U) for k in order] if full else []
+        raw = _views(table.column("shingles")) if full else []
+        sets = [raw[k] for k in order] if full else []
         cut = np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (part[1:] != part[:-1]), True])
         out: set[tuple] = set()
         for a, b in zip(cut[:-1], cut[1:], strict=True):
@@ -251,9 +284,9 @@ def _each_node(members: DataFrame, handle_node, result: str, where: bool = False
 
 def _wanted_sets(wanted: DataFrame, docs: DataFrame, firsts: DataFrame, words: int, packed: bool) -> DataFrame:
     """set_id, shingles (an array, or its sorted bytes) of the wanted sets, taken anew from the texts."""
-    wanted = wanted.select("set_id").distinct().join(firsts.select("set_id", "doc_id"), "set_id")
+    wanted = wanted.select("set_id").distinct().join(firsts.select("set_id", "key", "doc_id"), "set_id")
     texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = texts.mapInArrow(_sets(words, packed), f"doc_id long, set_id long, shingles {'binary' if packed else 'array<long>'}").join(wanted, ["set_id", "doc_id"], "left_semi").dropDuplicates(["set_id"])
+    sets = texts.mapInArrow(_sets(words, packed), f"doc_id long, key binary, shingles {'binary' if packed else 'array<long>'}").join(wanted, ["key", "doc_id"]).dropDuplicates(["set_id"])
     return materialize(sets.select("set_id", "shingles"), "shingles")
 
 
@@ -290,8 +323,8 @@ def components(links: DataFrame) -> DataFrame:
     return out.union(edges.select(F.col("b").alias("set_id"), F.col("b").alias("label"))).groupBy("set_id").agg(F.min("label").alias("label"))
 
 
-def _children(level: int):
-    """Where a set goes from a large node: the node's seed picks one token, in one of EXTRA nodes a second one."""
+def _children(level: int, double: float):
+    """Where a set goes from a large node: the node's seed picks one token, in a share `double` of the nodes a second one."""
 
     def children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,20 +332,21 @@ def _children(level: int):
                 continue
             node, sketch = batch.column("node").to_numpy().view(U), _matrix(batch.column("sketch"))
             seed = V.mix(node + U(level * 0xA0761D6478BD642F % 2**64))
+            other = V.mix(seed)
             pick = (seed % U(COORDS)).astype(np.int64)
-            twice = np.flatnonzero((seed >> U(32)) % U(EXTRA) == 0)
+            twice = np.flatnonzero((seed >> U(32)).astype(np.float64) < double * 2**32)
             rows = np.concatenate([np.arange(len(node)), twice])
-            coord = np.concatenate([pick, (pick[twice] + 1 + (seed[twice] >> U(40)).astype(np.int64) % (COORDS - 1)) % COORDS])
+            coord = np.concatenate([pick, (pick[twice] + 1 + (other[twice] % U(COORDS - 1)).astype(np.int64)) % COORDS])
             child = V.mix(node[rows] ^ V.mix(sketch[rows, coord].astype(U) + (coord.astype(U) << U(32)) + U(level)))
             take = pa.array(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *[batch.column(c).take(take) for c in ("set_id", "sketch", "label")]], names=["node", "set_id", "sketch", "label"])
+            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *[batch.column(c).take(take) for c in ("set_id", "sketch", "label", "n")]], names=["node", "set_id", "sketch", "label", "n"])
 
     return children
 
 
-def _crowded(members: DataFrame) -> DataFrame:
-    """The members of nodes with at least two sets, with the node's size."""
-    sizes = members.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+def _crowded(members: DataFrame, limit: int) -> DataFrame:
+    """The members of nodes with at least two sets, with the node's size and load: 1 or less for nodes that are compared at once."""
+    sizes = members.groupBy("node").agg(F.count("*").alias("size"), F.greatest(F.count("*") / limit, F.sum("n") * 8 / NODE_BYTES).alias("load")).where("size > 1")
     return members.join(sizes, "node")
 
 
@@ -326,19 +360,20 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.drop("label").join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
 
 
-def near_links(docs: DataFrame, words: int, num: int, den: int, limit: int = LIMIT, depth: int = DEPTH, marked: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, set_id and, if `marked`, the text's hash (mark) of all rows; set_id, label of linked sets)."""
+def _link(docs: DataFrame, words: int, num: int, den: int, limit: int, depth: int, marked: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, n_shingles, key and, if `marked`, the text's hash (mark) of all rows; key, set_id, smallest doc_id of the sets; set_id, label of linked sets)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = rows.withColumn("mark", F.xxhash64("text")) if marked else rows
     signed = materialize(texts.mapInArrow(_sign(words, marked), SIGNED + ", mark long" * marked), "signed")
-    named = signed.where("set_id is not null and doc_id is not null")
-    firsts = materialize(named.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.first("tokens").alias("tokens")), "firsts")
+    named = signed.where("key is not null and doc_id is not null")
+    firsts = named.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("tokens").alias("tokens"))
+    firsts = materialize(firsts.withColumn("set_id", F.monotonically_increasing_id()), "firsts")  # numbers that are written once
     s = num / den
     least = s - DEVIATIONS * (s * (1 - s) / COORDS) ** 0.5
 
     # First level: one minwise token for each tree.  Every node's centres are tried on its members.
-    first = firsts.select("set_id", F.posexplode("tokens").alias("tree", "token")).select("set_id", "tree", F.xxhash64("tree", "token").alias("node"))
-    crowd = materialize(_crowded(first).join(firsts.select("set_id", "sketch"), "set_id").select("node", "set_id", "sketch", "tree", "size"), "nodes")
+    first = firsts.select("set_id", "n", F.posexplode("tokens").alias("tree", "token")).select("set_id", "n", "tree", F.xxhash64("tree", "token").alias("node"))
+    crowd = materialize(_crowded(first, limit).join(firsts.select("set_id", "sketch"), "set_id").select("node", "set_id", "sketch", "tree", "n", "size", "load"), "nodes")
     part = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("size") / TOGETHER))
     tried = materialize(_each_node(crowd.withColumn("part", part), lambda x: _star(x.ids, x.sketch, least), EDGES).where("a <> b").distinct(), "tried")
     links = _confirm(tried, rows, firsts, words, num, den)
@@ -346,33 +381,39 @@ def near_links(docs: DataFrame, words: int, num: int, den: int, limit: int = LIM
 
     # Further levels: large nodes branch on, as long as they hold sets that aren't connected yet.
     nodes = _mixed(_labelled(crowd, labels))
-    small = nodes.where(F.col("size") <= limit).select("node", "set_id", "sketch", "label", F.col("tree").alias("level"))
-    large = materialize(nodes.where(F.col("size") > limit).select("node", "set_id", "sketch", "label", "size"), "large")
+    small = nodes.where("load <= 1").select("node", "set_id", "sketch", "label", F.col("tree").alias("level"))
+    large = materialize(nodes.where("load > 1").select("node", "set_id", "sketch", "label", "n", "load"), "large")
     for level in range(2, depth + 1):
         if large.isEmpty():
             break
-        moved = large.select("node", "set_id", "sketch", "label").mapInArrow(_children(level), "node long, set_id long, sketch binary, label long")
-        nodes = materialize(_crowded(_mixed(moved)).select("node", "set_id", "sketch", "label", "size"), "nodes")
-        small = small.unionByName(nodes.where(F.col("size") <= limit).select("node", "set_id", "sketch", "label", F.lit(TREES).alias("level")))
-        large = nodes.where(F.col("size") > limit)
-    parts = small.withColumns({"side": F.lit(2), "part": F.lit(0).cast("long")}).unionByName(_blocks(large, limit))
+        moved = large.select("node", "set_id", "sketch", "label", "n").mapInArrow(_children(level, min(1.0, 1 / s - 1)), "node long, set_id long, sketch binary, label long, n long")
+        nodes = materialize(_crowded(_mixed(moved), limit).select("node", "set_id", "sketch", "label", "n", "load"), "nodes")
+        small = small.unionByName(nodes.where("load <= 1").select("node", "set_id", "sketch", "label", F.lit(TREES).alias("level")))
+        large = nodes.where("load > 1")
+    parts = small.withColumns({"side": F.lit(2), "part": F.lit(0).cast("long")}).unionByName(_blocks(large))
 
     # All pairs of small nodes between components that aren't connected yet, each in the first node where it meets.
-    met = crowd.where(F.col("size") <= limit).groupBy("set_id").agg(F.expr("bit_or(shiftleft(1, tree))").alias("small"))
+    met = crowd.where("load <= 1").groupBy("set_id").agg(F.expr("bit_or(shiftleft(1, tree))").alias("small"))
     packed = firsts.select("set_id", F.unhex(F.array_join(F.transform("tokens", lambda t: F.substring(F.lpad(F.hex(t), 16, "0"), 9, 8)), "")).alias("tokens"))
     open_ = parts.join(packed.join(met, "set_id", "left").withColumn("small", F.coalesce("small", F.lit(0))), "set_id")
     involved = materialize(_each_node(open_, lambda x: _involved(x, least), "set_id long", where=True), "involved")
     sets = _wanted_sets(involved, rows, firsts, words, packed=True)
     full = open_.join(involved, ["node", "part", "set_id"], "left_semi").join(sets, "set_id")
     links = links.unionByName(materialize(_each_node(full, lambda x: _linked(x, least, num, den), EDGES), "links"))
-    return signed.drop("sketch", "tokens"), materialize(components(links), "labels")
+    return signed.drop("sketch", "tokens"), firsts.select("key", "set_id", "doc_id"), materialize(components(links), "labels")
+
+
+def near_links(docs: DataFrame, words: int, num: int, den: int, limit: int = LIMIT, depth: int = DEPTH) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, set_id of all rows; set_id, label of linked sets)."""
+    signed, firsts, labels = _link(docs, words, num, den, limit, depth, False)
+    return signed.join(firsts.select("key", "set_id"), "key", "left").drop("key"), labels
 
 
-def _blocks(large: DataFrame, limit: int) -> DataFrame:
+def _blocks(large: DataFrame) -> DataFrame:
     """A node too large at full depth as pairs of blocks: every two members meet in one of them."""
-    rows = large.withColumn("n", F.ceil(F.col("size") / limit).cast("int"))
-    rows = rows.withColumn("mine", F.pmod(F.xxhash64("set_id"), F.col("n")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    rows = large.withColumn("blocks", F.ceil("load").cast("int"))
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1)
     part = F.least("mine", "other").cast("long") * (1 << 31) + F.greatest("mine", "other") + 1
     return rows.select("node", "set_id", "sketch", "label", F.lit(TREES).alias("level"), side.alias("side"), part.alias("part"))
@@ -384,15 +425,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     docs: doc_id, text.  Returns doc_id, n_shingles, component_id (smallest
     doc_id reachable), kept (doc_id = component_id); with `keep` doc_id, these
     columns, component_id and kept."""
-    signed, labels = near_links(docs, words, num, den, marked=keep is not None)
-    named = signed.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-    smallest = named.where("label is not null and doc_id is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    found = named.join(smallest, "label", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    signed, firsts, labels = _link(docs, words, num, den, LIMIT, DEPTH, keep is not None)
+    # components of sets, of which there are fewer than documents; rows without a set stand apart from the join
+    sets = firsts.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    smallest = sets.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    sets = materialize(sets.join(smallest, "label").select("key", "component_id"), "components")
+    linked = F.col("key").isNotNull() & F.col("doc_id").isNotNull()
+    found = signed.where(linked).join(sets, "key").withColumn("kept", F.col("doc_id") == F.col("component_id"))
     if keep is None:
-        return found.select("doc_id", "n_shingles", "component_id", kept)
+        alone = signed.where(~linked).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+        return found.select("doc_id", "n_shingles", "component_id", "kept").unionByName(alone)
     extra = [c for c in keep if c not in ("doc_id", "component_id", "kept")]
     moved = found.where("doc_id <> component_id").groupBy(F.col("doc_id").alias("_doc"), F.col("mark").alias("_mark")).agg(F.min("component_id").alias("_component"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *extra, F.xxhash64(F.col("text").cast("string")).alias("_text"))
     joined = own.join(moved, (F.col("doc_id") == F.col("_doc")) & (F.col("_text") == F.col("_mark")), "left")  # rows of one doc_id may have different texts
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
     return joined.withColumn("component_id", F.coalesce("_component", "doc_id")).select("doc_id", *extra, "component_id", kept)

@@ -204,6 +204,34 @@ def test_near_duplicates_by_brute_force(spark, limit):
     assert [first[mine[i]] for i in range(len(texts))] == label
 
 
+@pytest.mark.parametrize("depth", [4, 8])
+def test_recall_through_deep_nodes(spark, depth):
+    """Pairs just above 0.80 among sets that all share half of their shingles.  No node counts as small, so all but the
+    few that a node's centres find are found by branching to this depth."""
+    pairs = 60
+    text = lambda k, side: " ".join([*[f"s{i}" for i in range(300)], *[f"p{k}w{i}" for i in range(120)], *[f"{side}{k}x{i}" for i in range(48)]])
+    docs = [(2 * k + (side == "b"), text(k, side)) for k in range(pairs) for side in "ab"]
+    signed, found = minhash_dedup.near_links(spark.createDataFrame(docs, "doc_id long, text string"), 5, 80, 100, limit=1, depth=depth)
+    names = {r["set_id"]: r["label"] for r in found.collect()}
+    mine = {r["doc_id"]: names.get(r["set_id"], r["set_id"]) for r in signed.collect()}
+    assert [k for k in range(pairs) if mine[2 * k] != mine[2 * k + 1]] == []
+    assert len(set(mine.values())) == pairs
+
+
+def test_pair_recall():
+    """The formula against walks down random trees."""
+    rng = np.random.default_rng(4)
+    for s, level in ((0.8, 1), (0.8, 4), (0.85, 6)):
+        met = 0
+        for _ in range(4000):
+            nodes = int(rng.random() < s)
+            for _ in range(level - 1):
+                picks = nodes + int((rng.random(nodes) < 1 / s - 1).sum())
+                nodes = int((rng.random(picks) < s).sum())
+            met += nodes > 0
+        assert met / 4000 == pytest.approx(minhash_dedup.pair_recall(s, level, 1), abs=0.03)
+
+
 def test_mix():
     assert source_mix.water_fill([100, 100, 1], [1, 2, 3], 3) == pytest.approx([66.0, 132.0, 3.0])
     assert source_mix.water_fill([], [], 3) == []
