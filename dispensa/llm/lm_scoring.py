@@ -12,8 +12,15 @@ The trees follow from the counts of byte sequences, which grow with the corpus
 and are never sent to the driver or to every executor.  Documents are handled in
 chunks.  A chunk offers its distinct sequences and words with their training
 counts; shards add these up; the sums, grouped by the last two bytes of context,
-give the trees; and the shards answer every chunk what it offered.  Only the
-nodes of depth 0 and 1, at most 65,535 of each kind, pass through the driver.
+give the trees; and the shards answer every chunk what it offered.  Contexts of
+two bytes with more than `hot` sequences are split by the third byte: their trees
+are grown from depth 3, and what these hand to depth 2 is added up first, at most
+255 nodes for each of at most 65,536 contexts.  Only the nodes of depth 0 and 1,
+at most 65,535 of each kind, pass through the driver.
+
+Chunks and shards grow in number with the input (CHUNK_BYTES and SHARD_BYTES of
+text each).  A chunk has a row for each shard that one of its sequences belongs
+to, never more than it has distinct sequences and words.
 
 The unigram base: sum over words and one end of log10((c + 0.5) / (N + 0.5 (V + 1))).
 
@@ -24,6 +31,7 @@ table gives an empty result.  Extra columns are ignored."""
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,16 +41,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as V
-from .common import chunk_count, materialize, with_chunk
+from .common import chunk_count, input_bytes, materialize, with_chunk
 
 U = np.uint64
 DEPTH = 5
 #: Larger chunks repeat fewer sequences.
 CHUNK_BYTES = 8 << 20
+#: Bytes of text whose distinct sequences and words one shard adds up.
+SHARD_BYTES = 48 << 20
+#: Sequences of one context of two bytes that one task takes whole, and of all contexts that a task is dealt on average.
+HOT, DEALT = 400_000, 400_000
 END, GAP = 10, 32
 SEQUENCE, WORD, DOCS = 0, 1, 2
 OFFERS = "chunk int, shard int, kind int, keys binary, counts binary"
 ANSWERS = "chunk int, kind int, keys binary, values binary"
+WORDS = ANSWERS + ", vocabulary long, tokens long, docs long"
+UNITS = "pair long, sub int, shard int, keys binary, counts binary"
+ROOTS = "pair long, node long, n0 double, n1 double, children double"
+ABOVE = "node long, n0 double, n1 double, own double, weighted double"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, n_bytes long, base_score double, score double"
 
 
@@ -145,8 +161,10 @@ def _answer_words(table: pa.Table) -> pa.Table:
     key, count = _merge([k for _, k, _ in offers], [n for _, _, n in offers])
     rows = [(c, WORD, pack_keys(k), pack(count[np.searchsorted(key, k)])) for c, k, _ in offers]
     docs = sum(int(n.sum()) for _, _, n in _unpack(table, DOCS))
-    rows.append((-1, DOCS, b"", pack(np.array([(count > 0).sum(), count.sum(), docs]))))
-    return _answers(rows)
+    out = _answers([*rows, (-1, DOCS, b"", b"")])
+    for name, value in (("vocabulary", (count > 0).sum()), ("tokens", count.sum()), ("docs", docs)):
+        out = out.append_column(name, pa.array([None] * len(rows) + [int(value)], pa.int64()))
+    return out
 
 
 def _answers(rows: list[tuple]) -> pa.Table:
@@ -162,12 +180,32 @@ def _sums(table: pa.Table) -> pa.Table:
     pair = (key >> U(depth_bits)).astype(np.int64)
     at = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]]) if len(pair) else np.zeros(0, np.int64)
     ends = np.r_[at[1:], len(pair)].astype(np.int64)
+    return _units(pair[at], np.zeros(len(at), np.int64), [table.column("shard")[0].as_py()] * len(at), key, count, at, ends)
+
+
+def _units(pair: np.ndarray, sub: np.ndarray, shard: list[int], key: np.ndarray, count: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Table:
+    runs = list(zip(starts.tolist(), ends.tolist(), strict=True))
     return pa.table({
-        "pair": pa.array(pair[at], pa.int64()), "shard": pa.array([table.column("shard")[0].as_py()] * len(at), pa.int32()),
-        "keys": pa.array([key[a:b].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary()), "counts": pa.array([count[a:b].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary()),
+        "pair": pa.array(pair, pa.int64()), "sub": pa.array(sub, pa.int32()), "shard": pa.array(shard, pa.int32()),
+        "keys": pa.array([key[a:b].tobytes() for a, b in runs], pa.binary()), "counts": pa.array([count[a:b].tobytes() for a, b in runs], pa.binary()),
     })
 
 
+def _split(depth: int):
+    """Sequences of a context of two bytes by the third one."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pair, shard, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("pair", "shard", "keys", "counts")), strict=True):
+                key, count = np.frombuffer(keys, U), np.frombuffer(counts, np.int64)
+                third = ((key >> U(8 * (depth - 2))) & U(255)).astype(np.int64)  # sorted, as the keys are
+                at = np.flatnonzero(np.r_[True, third[1:] != third[:-1]])
+                out = _units(np.full(len(at), pair), third[at], [shard] * len(at), key, count, at, np.r_[at[1:], len(key)])
+                yield from out.to_batches()
+
+    return split
+
+
 _HALF_LOG_PI = 0.5 * math.log(math.pi)
 _SMALL = np.array([math.lgamma(i / 2 + 0.5) for i in range(0, 4096)])
 
@@ -223,35 +261,52 @@ class Level:
         return (np.where(self.bit, n1, n0) + 0.5) / (n0 + n1 + 1), self.own[self.of], n0 + n1 > 0
 
 
-def grow(key: np.ndarray, count: np.ndarray, depth: int) -> list[Level]:
-    """Levels 2 to depth over sorted distinct sequences."""
-    levels = [Level(key, count, depth, d) for d in range(2, depth + 1)]
+def grow(key: np.ndarray, count: np.ndarray, depth: int, first: int = 2) -> list[Level]:
+    """Levels `first` to depth over sorted distinct sequences."""
+    levels = [Level(key, count, depth, d) for d in range(first, depth + 1)]
     for i in range(len(levels) - 1, -1, -1):
         levels[i].weigh(levels[i + 1] if i + 1 < len(levels) else None)
     return levels
 
 
-def _gather(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys = [np.frombuffer(k, U) for k in table.column("keys").to_pylist()]
-    key, count = np.concatenate(keys), np.concatenate([np.frombuffer(n, np.int64) for n in table.column("counts").to_pylist()])
-    shard = np.repeat(table.column("shard").to_numpy(), [len(k) for k in keys])
-    order = np.argsort(key, kind="stable")
-    return key[order], count[order], shard[order]
+def _gather(table: pa.Table) -> Iterator[tuple[bool, np.ndarray, np.ndarray, np.ndarray]]:
+    """(whether their contexts are split, sequences, counts, shards): whole contexts together, and those that are split."""
+    hot = table.column("hot").to_numpy(zero_copy_only=False)
+    for split in (False, True):
+        part = table.filter(pa.array(hot == split))
+        if part.num_rows:
+            keys = [np.frombuffer(k, U) for k in part.column("keys").to_pylist()]
+            key, count = np.concatenate(keys), np.concatenate([np.frombuffer(n, np.int64) for n in part.column("counts").to_pylist()])
+            shard = np.repeat(part.column("shard").to_numpy(), [len(k) for k in keys])
+            order = np.argsort(key, kind="stable")
+            yield split, key[order], count[order], shard[order]
 
 
 def _roots(depth: int):
     def roots(table: pa.Table) -> pa.Table:
-        """Of some contexts of two bytes: counts and weighted probability, added up by the last byte."""
-        key, count, _ = _gather(table)
-        top = grow(key, count, depth)[0]
-        last, decision = (top.node >> U(16)).astype(np.int64), (top.node & U(255)).astype(np.int64)
-        group, back = np.unique(last * 256 + decision, return_inverse=True)
-        add = lambda x: np.bincount(back, weights=x, minlength=len(group))
-        return pa.table({"node": pa.array(group, pa.int64()), "n0": pa.array(add(top.n0)), "n1": pa.array(add(top.n1)), "children": pa.array(add(top.weighted))})
+        """Counts and weighted probability of some contexts, added up by their last byte (pair -1) or, of split ones, their last two."""
+        out = {c: [] for c in ("pair", "node", "n0", "n1", "children")}
+        for split, key, count, _ in _gather(table):
+            top = grow(key, count, depth, 3 if split else 2)[0]
+            context, decision = (top.node >> U(16)).astype(np.int64), (top.node & U(255)).astype(np.int64)
+            group, back = np.unique(context * 256 + decision, return_inverse=True)
+            out["pair"].append(group >> 8 if split else np.full(len(group), -1))
+            out["node"].append(group)
+            for name, x in (("n0", top.n0), ("n1", top.n1), ("children", top.weighted)):
+                out[name].append(np.bincount(back, weights=x, minlength=len(group)))
+        return pa.table({name: pa.array(np.concatenate(x)) for name, x in out.items()})
 
     return roots
 
 
+def _second(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Nodes of depth 2 of split contexts, from what their parts hand up."""
+    for rows in batches:
+        kt = log_kt(rows["n0"].to_numpy(), rows["n1"].to_numpy())
+        weighted = np.logaddexp(kt, rows["children"].to_numpy()) - math.log(2)
+        yield pd.DataFrame({"node": rows["node"], "n0": rows["n0"], "n1": rows["n1"], "own": np.exp(kt - math.log(2) - weighted), "weighted": weighted})
+
+
 def top_levels(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(estimate of a one, weight of the own estimate) at depth 1 by [last byte, decision] and at depth 0 by [decision]."""
     n0, n1, children = (np.zeros((256, 256)) for _ in range(3))
@@ -266,16 +321,24 @@ def top_levels(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return one, np.exp(kt - np.logaddexp(kt, children)), (z1 + 0.5) / (z0 + z1 + 1), own0
 
 
-def code_length(key: np.ndarray, count: np.ndarray, depth: int, top: tuple) -> np.ndarray:
-    """log10 probability of the byte of every sequence after its context."""
-    levels = grow(key, count, depth)
+def code_length(key: np.ndarray, count: np.ndarray, depth: int, top: tuple, above: pd.DataFrame | None = None) -> np.ndarray:
+    """log10 probability of the byte of every sequence after its context.
+
+    above: the nodes of depth 2, sorted, where these sequences are a part of a split context's."""
+    levels = grow(key, count, depth, 2 if above is None else 3)
     p = np.full((len(key), 8), np.nan)
     for level in reversed(levels):
         estimate, own, trained = level.estimate()
         mixed = np.where(np.isnan(p), estimate, own * estimate + (1 - own) * p)
         p = np.where(trained, mixed, p)
+    bit, decision = levels[0].bit, (levels[0].node & U(255)).astype(np.int64)[levels[0].of]
+    if above is not None:
+        at = np.searchsorted(above["node"].to_numpy(), (key >> U(8 * (depth - 1))).astype(np.int64)[:, None] * 256 + decision)
+        n0, n1, own = (above[c].to_numpy()[at] for c in ("n0", "n1", "own"))
+        estimate = (np.where(bit, n1, n0) + 0.5) / (n0 + n1 + 1)
+        p = np.where(n0 + n1 > 0, np.where(np.isnan(p), estimate, own * estimate + (1 - own) * p), p)
     one1, own1, one0, own0 = top
-    last, decision, bit = (key >> U(8 * depth)).astype(np.int64)[:, None], (levels[0].node & U(255)).astype(np.int64)[levels[0].of], levels[0].bit
+    last = (key >> U(8 * depth)).astype(np.int64)[:, None]
     for one, own in ((one1[last, decision], own1[last, decision]), (one0[decision], own0[decision])):
         estimate = np.where(bit, one, 1 - one)
         p = np.where(np.isnan(estimate), p, np.where(np.isnan(p), estimate, own * estimate + (1 - own) * p))
@@ -283,14 +346,13 @@ def code_length(key: np.ndarray, count: np.ndarray, depth: int, top: tuple) -> n
 
 
 def _price(depth: int, top: tuple):
-    def price(table: pa.Table) -> pa.Table:
-        key, count, shard = _gather(table)
-        cost = code_length(key, count, depth, top)
-        shards = np.unique(shard)
-        return pa.table({
-            "shard": pa.array(shards, pa.int32()), "priced": pa.array([key[shard == s].tobytes() for s in shards], pa.binary()),
-            "cost": pa.array([cost[shard == s].tobytes() for s in shards], pa.binary()),
-        })
+    def price(table: pa.Table, second: pa.Table) -> pa.Table:
+        above = second.to_pandas().drop_duplicates("node").sort_values("node")
+        rows = []
+        for split, key, count, shard in _gather(table):
+            cost = code_length(key, count, depth, top, above if split else None)
+            rows += [(int(s), key[shard == s].tobytes(), cost[shard == s].tobytes()) for s in np.unique(shard)]
+        return pa.table({"shard": pa.array([r[0] for r in rows], pa.int32()), "priced": pa.array([r[1] for r in rows], pa.binary()), "cost": pa.array([r[2] for r in rows], pa.binary())})
 
     return price
 
@@ -338,29 +400,43 @@ def _score(depth: int, vocabulary: int, tokens: int, train_docs: int):
     return score
 
 
-def score_documents(docs: DataFrame, folds: int = 5, held_fold: int = 1, depth: int = DEPTH) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 5, held_fold: int = 1, depth: int = DEPTH, hot: int = HOT) -> DataFrame:
     """log10 probability of every text; learnt from those whose crc32(doc_id) mod folds isn't held_fold.
 
-    docs: doc_id, text.  Returns doc_id, held_out, n_tokens, n_known,
+    docs: doc_id, text.  depth: 3 or more.  Returns doc_id, held_out, n_tokens, n_known,
     train_tokens, n_bytes (spelled), base_score and score; -score * log2(10) /
     n_bytes is the code length per byte."""
-    n = chunk_count(docs, CHUNK_BYTES)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n, shards = chunk_count(docs, CHUNK_BYTES), max(parts, -(-input_bytes(docs) // SHARD_BYTES), 1)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = with_chunk(rows.withColumn("held_out", F.crc32(key.cast("binary")) % folds == held_fold), n)
-    offers = materialize(rows.groupBy("chunk").applyInArrow(_offer(n, depth), OFFERS), "offers")
-    words = materialize(offers.where(f"kind <> {SEQUENCE}").groupBy("shard").applyInArrow(_answer_words, ANSWERS), "words")
-    totals = [unpack(r["values"]) for r in words.where("chunk = -1").select("values").toLocalIterator()]
-    vocabulary, tokens, train_docs = (int(sum(t[i] for t in totals)) for i in range(3))
+    offers = materialize(rows.groupBy("chunk").applyInArrow(_offer(shards, depth), OFFERS), "offers")
+    words = materialize(offers.where(f"kind <> {SEQUENCE}").groupBy("shard").applyInArrow(_answer_words, WORDS), "words")
+    sums = words.where("chunk = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("vocabulary", "tokens", "docs")]).first()
+    vocabulary, tokens, train_docs = (int(sums[c]) for c in ("vocabulary", "tokens", "docs"))
     if train_docs:  # the end is a token too
         vocabulary, tokens = vocabulary + 1, tokens + train_docs
 
     sequences = offers.where(f"kind = {SEQUENCE}")
-    sums = sequences.withColumn("bits", F.lit(8 * (depth - 1))).groupBy("shard").applyInArrow(_sums, "pair long, shard int, keys binary, counts binary")
-    pairs = materialize(sums.withColumn("deal", F.pmod(F.xxhash64("pair"), F.lit(n))), "sums")
-    roots = pairs.groupBy("deal").applyInArrow(_roots(depth), "node long, n0 double, n1 double, children double")
-    found = roots.groupBy("node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("children").alias("children")).orderBy("node")
+    summed = sequences.withColumn("bits", F.lit(8 * (depth - 1))).groupBy("shard").applyInArrow(_sums, UNITS)
+    pairs = materialize(summed, "sums")
+    sizes = pairs.groupBy("pair").agg(F.sum(F.length("keys") / 8).alias("n"))  # at most 65,536 rows of two numbers
+    large = F.broadcast(sizes.where(F.col("n") > hot).select("pair"))
+    total = int(sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    whole = pairs.join(large, "pair", "left_anti").withColumn("hot", F.lit(False))
+    split = pairs.join(large, "pair", "left_semi").mapInArrow(_split(depth), UNITS).withColumn("hot", F.lit(True))
+    deals = max(parts, -(-total // DEALT))
+    units = materialize(whole.unionByName(split).withColumn("deal", F.pmod(F.xxhash64("pair", "sub"), F.lit(deals))), "units")
+
+    roots = materialize(units.groupBy("deal").applyInArrow(_roots(depth), ROOTS), "roots")
+    add = [F.sum(c).alias(c) for c in ("n0", "n1", "children")]
+    second = materialize(roots.where("pair >= 0").groupBy("node").agg(*add).mapInPandas(_second, ABOVE), "second")
+    handed = second.select(F.expr("((node div 256) div 256) * 256 + node % 256").alias("node"), "n0", "n1", F.col("weighted").alias("children"))
+    found = roots.where("pair < 0").select("node", "n0", "n1", "children").unionByName(handed).groupBy("node").agg(*add).orderBy("node")
     top = top_levels(found.toPandas())  # at most 256 * 255 rows
-    prices = pairs.groupBy("deal").applyInArrow(_price(depth, top), "shard int, priced binary, cost binary")
+    asked = units.where("hot").select("pair", (F.col("deal") + 0).alias("to_deal")).distinct().join(second.withColumn("pair", F.expr("node div 256")), "pair").drop("pair")
+    prices = units.groupBy("deal").cogroup(asked.groupBy("to_deal")).applyInArrow(_price(depth, top), "shard int, priced binary, cost binary")
     answers = sequences.groupBy("shard").cogroup(prices.groupBy("shard")).applyInArrow(_answer_sequences, ANSWERS)
-    return rows.groupBy("chunk").cogroup(answers.unionByName(words.where("chunk >= 0")).groupBy("chunk")).applyInArrow(_score(depth, vocabulary, tokens, train_docs), SCORES)
+    known = words.where("chunk >= 0").select("chunk", "kind", "keys", "values")
+    return rows.groupBy("chunk").cogroup(answers.unionByName(known).groupBy("chunk")).applyInArrow(_score(depth, vocabulary, tokens, train_docs), SCORES)

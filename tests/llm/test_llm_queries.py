@@ -81,7 +81,9 @@ class Tree:
         return p
 
 
-def test_context_trees_by_recursion(spark):
+@pytest.mark.parametrize("hot", [400_000, 12, 0])
+def test_context_trees_by_recursion(spark, hot):
+    """With whole contexts of two bytes, with some of them split by the third, and with all of them split."""
     from dispensa.llm.lm_scoring import score_documents
 
     texts = {1: "the cat sat on the mat", 2: "The dog  sat on\nthe log é", 3: "", 4: None, 5: "a cat and a dog", 6: "the the the zebra"}
@@ -104,7 +106,7 @@ def test_context_trees_by_recursion(spark):
                 trees[node].learn(context, bit)
     counts = Counter(w for i, t in texts.items() if not held[i] for w in [*WORD.findall((t or "").lower()), None])
     n, v = sum(counts.values()), len(counts)
-    for r in score_documents(docs, depth=depth).collect():
+    for r in score_documents(docs, depth=depth, hot=hot).collect():
         t = texts[r["doc_id"]]
         expected = sum(math.log10(trees[node].probability(context, bit)) for node, context, bit in bits(t))
         assert r["score"] == pytest.approx(expected, rel=1e-5)
