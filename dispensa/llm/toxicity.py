@@ -8,7 +8,8 @@ whitened by the landmarks' own kernel matrix; a sentence is the element-wise
 maximum of its units' kernel values.  The machine is trained on sentences: of a
 document labelled 0 all are negative, of one labelled 1 the sentence with the
 highest margin is its witness, chosen anew in every round.  A document's score
-is its best sentence's margin through a fitted logistic curve.
+is a fitted logistic curve of its best sentence's margin and the next two's mean,
+so that an insult is enough, and many doubtful words count more than one.
 
 The kernel counts common subsequences of ORDER characters, each weighted by
 DECAY per character it spans, so inserted characters and gaps lower a value
@@ -23,8 +24,9 @@ machine and the curve are also fitted on passages of toxic documents in which a
 landmark has an inserted letter or a gap; they count as much as their documents.
 
 Fitting takes at most `max_train` labelled documents, those first by md5 of
-their doc_id within each label (a documented bound; scoring reads all texts
-whole).  lang, source, doc_id and labels are never inputs of a score.
+their doc_id within each label, as long as they have at most `max_bytes` together
+and a 64th of that each (documented bounds; scoring reads all texts whole).  Of
+one doc_id with several texts, the first by hash is learnt from.  lang, source, doc_id and labels are never inputs of a score.
 
 Null and empty texts have no sentence and get the score of a text without any
 unit near a landmark.  Repeated rows are scored one by one.  Labels of one
@@ -41,15 +43,22 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textvec as V
+from .common import materialize
 
 U = np.uint64
 ORDER = 3
 DECAY = 0.75
-LANDMARKS = 64
+LANDMARKS = 96
+#: What a toxic document counts for a further landmark with each it has already, and the count (of the least that any landmark needs) at which none is added.
+COVERED, ENOUGH = 0.6, 0.3
+#: A landmark's documents that aren't toxic, at most, as a share of its toxic ones at equal numbers of both.
+FALSE = 0.06
+#: The same of a landmark that makes any passage toxic.
+PURE = 0.004
 WINDOW, STEP = 32, 16
 #: Kernel values (of a landmark with itself: 1) below this count as 0.
 LEAST = 0.4
@@ -179,7 +188,7 @@ class Model:
     white: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     bias: float = 0.0
-    slope: float = 0.0
+    slope: np.ndarray = field(default_factory=lambda: np.zeros(2))
     shift: float = 0.0
     begins: np.ndarray | None = None  # the first two bytes of landmarks
     reach: int = 0
@@ -246,17 +255,26 @@ class Model:
         return found.doc[sentence[at]], pooled @ self.white
 
     def margins(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """The best sentence's margin of every document of a slice; none near a landmark: the bias."""
-        out = np.full(len(off) - 1, self.bias)
+        """(the best sentence's margin, the mean of the next two) of every document of a slice; the bias for sentences that aren't there or near no landmark."""
         doc, features = self.sentences(data, off)
-        if len(doc):
-            np.maximum.at(out, doc, features @ self.weights + self.bias)
-        return out
+        return _tops(doc, features @ self.weights + self.bias if len(doc) else np.zeros(0), len(off) - 1, self.bias)
 
     def scores(self, margins: np.ndarray) -> np.ndarray:
         if not self.landmarks:
             return np.zeros(len(margins))
-        return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -700, 700)))
+        return 1 / (1 + np.exp(-np.clip(margins @ self.slope + self.shift, -700, 700)))
+
+
+def _tops(doc: np.ndarray, margin: np.ndarray, size: int, bias: float) -> np.ndarray:
+    """Of every document the largest margin and the mean of the next two, with `bias` for missing and smaller ones."""
+    out = np.full((size, 3), bias)
+    order = np.lexsort((-margin, doc))
+    doc, margin = doc[order], np.maximum(margin[order], bias)
+    first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
+    rank = np.arange(len(doc)) - np.repeat(first, np.diff(np.r_[first, len(doc)]))
+    top = rank < 3
+    out[doc[top], rank[top]] = margin[top]
+    return np.stack([out[:, 0], out[:, 1:].mean(axis=1)], axis=1)
 
 
 def _strings(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, set[bytes]]]:
@@ -275,14 +293,14 @@ def _strings(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, set[bytes
             yield first + i, {x for u in set(back[cut[i] : cut[i + 1]].tolist()) for x in parts[u]}
 
 
-def _candidates(texts: pa.Array, toxic: np.ndarray) -> list[bytes]:
-    """Landmarks: strings in toxic documents and (nearly) no others, chosen greedily by how many documents they newly cover."""
+def _candidates(texts: pa.Array, toxic: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """(landmarks, those that are toxic by themselves): strings in toxic documents and nearly no others, chosen greedily by how many documents they newly cover."""
     bad, good = V.flat(texts.filter(pa.array(toxic))), V.flat(texts.filter(pa.array(~toxic)))
     hits = Counter(x for _, found in _strings(*bad) for x in found)
     least = min(8, max(2, int(0.1 * toxic.sum())))
     hits = {x: n for x, n in hits.items() if n >= least and len(set(x)) >= ORDER}
     false = Counter(x for _, found in _strings(*good) for x in found if x in hits)
-    share = 0.02 * max(1, (~toxic).sum()) / max(1, toxic.sum())
+    share = FALSE * max(1, (~toxic).sum()) / max(1, toxic.sum())
     holders: dict[bytes, list[int]] = {x: [] for x, n in hits.items() if false[x] <= share * n}
     for d, found in _strings(*bad):
         for x in found:
@@ -293,12 +311,12 @@ def _candidates(texts: pa.Array, toxic: np.ndarray) -> list[bytes]:
     while holders and len(chosen) < LANDMARKS:
         gain = {x: float(value[docs].sum()) for x, docs in holders.items()}
         best = max(gain, key=lambda x: (round(gain[x], 6), len(x), x))  # of equal ones the longer string says more
-        if gain[best] < least / 2:
+        if gain[best] < least * ENOUGH:
             break
         chosen.append(best)
-        value[holders.pop(best)] *= 0.25
-        holders = {x: docs for x, docs in holders.items() if gain[x] >= least / 2}
-    return chosen
+        value[holders.pop(best)] *= COVERED
+        holders = {x: docs for x, docs in holders.items() if gain[x] >= least * ENOUGH}
+    return chosen, [x for x in chosen if false[x] * FALSE <= share * hits[x] * PURE]
 
 
 def _hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -326,7 +344,7 @@ def _hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e
 
 
 def _spellings(texts: pa.Array, landmarks: list[bytes]) -> tuple[list[str], np.ndarray]:
-    """(passages around landmarks, one of them with an inserted letter or, in every third, a gap; the text of each)."""
+    """(passages around landmarks, one of them with an inserted letter, with a gap or as it is; the text of each)."""
     whole = []
     for t in landmarks:
         try:
@@ -343,7 +361,7 @@ def _spellings(texts: pa.Array, landmarks: list[bytes]) -> tuple[list[str], np.n
         for k in range(PASSAGES if hits else 0):
             hit = hits[int(rng.integers(len(hits)))]
             at = hit.start() + int(rng.integers(1, hit.end() - hit.start()))
-            new = " " if k % 3 == 2 else chr(97 + int(rng.integers(26)))
+            new = " " if k % 4 == 2 else "" if k % 4 == 3 else chr(97 + int(rng.integers(26)))
             passages.append(text[max(0, hit.start() - AROUND) : at] + new + text[at : hit.end() + AROUND])
             of.append(i)
     return passages, np.array(of, np.int64)
@@ -369,22 +387,19 @@ def _machine(model: Model, texts: pa.Array, toxic: np.ndarray, weight: np.ndarra
         share = share * np.where(y > 0, 0.5 / max(share[y > 0].sum(), 1e-9), 0.5 / max(share[y < 0].sum(), 1e-9))
         model.weights, model.bias = _hinge(x[use], y, share)
         margin = x @ model.weights + model.bias
-    best = np.full(len(toxic), model.bias)
-    np.maximum.at(best, doc, margin)
-    model.slope, model.shift = _logistic(best, toxic, weight)
+    model.slope, model.shift = _logistic(_tops(doc, margin, len(toxic), model.bias), toxic, weight)
 
 
 def fit(texts: pa.Array, toxic: np.ndarray, rounds: int = 4) -> Model:
     model = Model()
     texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
-    landmarks = _candidates(texts, toxic) if 0 < toxic.sum() < len(toxic) else []
+    landmarks, pure = _candidates(texts, toxic) if 0 < toxic.sum() < len(toxic) else ([], [])
     if not landmarks:
         return model
     model.set_landmarks(landmarks)
     _machine(model, texts, toxic, np.ones(len(toxic)), rounds)
-    # again with changed spellings of the landmarks that are toxic by themselves
-    alone = model.margins(np.frombuffer(b"".join(landmarks), np.uint8), np.r_[0, np.cumsum([len(t) for t in landmarks])])
-    passages, of = _spellings(texts.filter(pa.array(toxic)), [t for t, m in zip(landmarks, alone, strict=True) if m > 0])
+    # again with passages around the landmarks that are toxic by themselves, changed and unchanged
+    passages, of = _spellings(texts.filter(pa.array(toxic)), pure)
     if passages:
         copies = np.bincount(of, minlength=int(toxic.sum()))
         weight = np.r_[np.ones(len(toxic)), 1 / copies[of]]
@@ -393,27 +408,30 @@ def fit(texts: pa.Array, toxic: np.ndarray, rounds: int = 4) -> Model:
     return model
 
 
-def _logistic(margin: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the curve from margin to probability, with smoothed targets."""
+def _logistic(margins: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """Slopes (none falls) and shift of the curve from margins to probability, with smoothed targets."""
     n1, n0 = float(weight[toxic].sum()), float(weight[~toxic].sum())
     target = np.where(toxic, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    a, b = 1.0, 0.0
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(a * margin + b, -500, 500)))
-        w = weight * np.maximum(p * (1 - p), 1e-9)
-        off = weight * (p - target)
-        g = np.array([(off * margin).sum() + 1e-3 * a, off.sum()])
-        h = np.array([[(w * margin**2).sum() + 1e-3, (w * margin).sum()], [(w * margin).sum(), w.sum() + 1e-6]])
-        step = np.linalg.solve(h, g)
-        step *= min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
-        a, b = a - step[0], b - step[1]
-        if np.abs(step).max() < 1e-9:
-            break
-    return max(float(a), 0.0), float(b)
-
-
-def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0, max_train: int = 6_000) -> Model:
-    """Model from labelled documents outside the held-out fold, at most a quarter of max_train toxic and three quarters others."""
+    use = np.ones(margins.shape[1], bool)
+    while True:
+        x = np.c_[margins * use, np.ones(len(margins))]
+        w = np.r_[use * 1.0, 0.0]
+        ridge = np.diag(np.r_[np.full(margins.shape[1], 1e-3), 1e-6])
+        for _ in range(100):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+            step = np.linalg.solve((x * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ x + ridge, x.T @ (weight * (p - target)) + ridge @ w)
+            step *= min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
+            w = w - step
+            if np.abs(step).max() < 1e-9:
+                break
+        falls = use & (w[:-1] < 0)
+        if not falls.any():
+            return np.where(use, w[:-1], 0.0), float(w[-1])
+        use &= ~falls
+
+
+def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0, max_train: int = 6_000, max_bytes: int = 64 << 20) -> Model:
+    """Model from labelled documents outside the held-out fold, at most a quarter of max_train and of max_bytes toxic and three quarters others."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.where(F.crc32(key.cast("binary")) % folds != held_fold).withColumn("toxic", F.when(F.col("toxic") > 0, 1).otherwise(0))
@@ -421,9 +439,14 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0
     for label in (0, 1):  # the first by md5, found by partial top-k
         side = known.where(F.col("toxic") == label).orderBy(F.md5(key), "doc_id").limit(max_train // 4 if label else max_train - max_train // 4)
         picked = side if picked is None else picked.unionByName(side)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
     # at most max_train rows of two numbers are broadcast
-    sample = texts.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
+    labelled = materialize(texts.where(F.col("size") <= max_bytes // 64).join(F.broadcast(picked), "doc_id"), "labelled")
+    one = labelled.groupBy("doc_id").agg(F.min_by(F.struct("text", "size", "toxic"), F.xxhash64("text")).alias("d")).select("doc_id", "d.*")
+    so_far = F.sum("size").over(Window.partitionBy("toxic").orderBy(F.md5(key), "doc_id"))  # over at most max_train rows
+    within = one.select("doc_id", "toxic", so_far.alias("sum"))
+    within = within.where(F.col("sum") <= F.when(F.col("toxic") == 1, max_bytes // 4).otherwise(max_bytes - max_bytes // 4)).select("doc_id")
+    sample = one.join(within, "doc_id").select("doc_id", "text", "toxic")
 
     def fit_group(table: pa.Table) -> pa.Table:
         import pickle
@@ -452,10 +475,10 @@ def _score(model: Model):
     return score
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0, max_train: int = 6_000, keep: list[str] | None = None) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0, max_train: int = 6_000, max_bytes: int = 64 << 20, keep: list[str] | None = None) -> DataFrame:
     """docs: doc_id, text; labels: doc_id, toxic.  Returns doc_id, the columns in
     `keep`, text, held_out (crc32(doc_id) mod folds is held_fold), score and predicted."""
-    model = train(docs, labels, folds, held_fold, max_train)
+    model = train(docs, labels, folds, held_fold, max_train, max_bytes)
     extra = [c for c in keep or [] if c not in ("doc_id", "text", "held_out", "score", "predicted")]
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *extra, F.col("text").cast("string").alias("text"))
