@@ -1,6 +1,14 @@
 """Training corpus from `documents`: toxic documents go, shared lines go, one of
 each group of near-duplicates stays, sources are mixed to target weights, and
-the result is packed into sequences."""
+the result is packed into sequences.
+
+Every stage keeps what its operator says of odd rows.  Null and empty texts are
+clean, have one empty line, are similar to nothing, have size 0 and are one end
+token.  Repeated rows are judged alike and stay repeated until the mix, which
+takes each as often as its source needs.  Rows without doc_id lose no lines, are
+linked with nothing and stay.  Ties go to the smaller doc_id.  Empty tables give
+empty results.  Of columns beside those of `documents` none is carried, whatever
+its name.  Null languages and sources stay null."""
 
 from __future__ import annotations
 
@@ -13,6 +21,7 @@ from dispensa.llm.common import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 CARRIED = ["text", "lang", "source", "n_chars"]
+WORD = r"[^\x20\x09-\x0D]"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +31,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that a document before them holds; n_chars follows the text."""
-    kept = line_dedup.drop_shared_lines(docs, least=10, keep=CARRIED)
+    """Documents without the lines that a document before them holds; n_chars follows the text.
+
+    A document that held nothing else goes: no word is left of it."""
+    kept = line_dedup.drop_shared_lines(docs, least=10, keep=CARRIED).where(~((F.col("n_dropped") > 0) & ~F.col("text").rlike(WORD)))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
@@ -51,9 +62,8 @@ STAGES = [
     ("best_fit_packing", pack),
 ]
 
-#: Classifier, tokens and packing have no SQL.  tests/llm compares the near-duplicates stage with brute force; of the
-#: others it checks properties only (toxicity: a part of the rows, unchanged; lines: none shared is left, no document lost;
-#: mixing: at most 3 copies; packing: every doc_id is there).
+#: Classifier, tokens and packing have no SQL.  tests/llm compares the rows of every stage with brute force: lines, near-duplicates
+#: and mixing row by row, toxicity with scores of every text alone, packing with the tokenizer's ids.
 ORACLE_SQL = None
 
 
