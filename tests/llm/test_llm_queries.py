@@ -1,7 +1,9 @@
 """The opN queries against their SQL, or against brute force where SQL can't express them."""
 
+import functools
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -159,12 +161,69 @@ def test_packing(spark, documents):
     assert len(by_sequence) <= math.ceil(total / 2048) + 2
 
 
+def demultiplexed(media):
+    """(payload, timestamps) by the book of the standard, apart from the writer: bits are read from one long number."""
+    bits = "".join(f"{b:08b}" for b in media)
+    num = lambda a, n: int(bits[a : a + n], 2)
+    crc = lambda a, b: functools.reduce(lambda c, x: ((c << 1) & 0xFFFFFFFF) ^ (0x04C11DB7 if (c >> 31) ^ int(x) else 0), bits[a:b], 0xFFFFFFFF)
+    tables, elementary, parts, stamps, counters = {0}, set(), [], [], {}
+    for at in range(0, len(bits), 188 * 8):
+        assert num(at, 8) == 0x47 and num(at + 8, 1) == 0 and num(at + 24, 2) == 0
+        start, pid, adaptation, payload, counter = num(at + 9, 1), num(at + 11, 13), num(at + 26, 1), num(at + 27, 1), num(at + 28, 4)
+        assert counters.get(pid, counter) == counter
+        counters[pid] = (counter + payload) % 16
+        body, end = at + 32, at + 188 * 8
+        if adaptation:
+            body += 8 + 8 * num(body, 8)
+        assert body <= end
+        if pid in tables:
+            assert start
+            body += 8 + 8 * num(body, 8)
+            size = num(body + 12, 12)
+            after = body + 24 + 8 * size
+            assert crc(body, after) == 0 and set(bits[after:end]) <= {"1"}
+            assert num(body, 8) == (0 if pid == 0 else 2)
+            if pid == 0:
+                tables |= {num(k + 19, 13) for k in range(body + 64, after - 32, 32) if num(k, 16)}
+            else:
+                k = body + 96 + 8 * num(body + 84, 12)
+                while k < after - 32:
+                    elementary.add(num(k + 11, 13))
+                    k += 40 + 8 * num(k + 28, 12)
+        elif pid in elementary:
+            if start:
+                assert num(body, 24) == 1 and num(body + 48, 2) == 2
+                left = num(body + 32, 16)
+                head = num(body + 64, 8)
+                if num(body + 56, 2) & 2:
+                    t = body + 72
+                    assert num(t, 4) == 2 and bits[t + 7] == bits[t + 23] == bits[t + 39] == "1"
+                    stamps.append(num(t + 4, 3) << 30 | num(t + 8, 15) << 15 | num(t + 24, 15))
+                body, left = body + 72 + 8 * head, left - 3 - head
+            take = (end - body) // 8
+            parts.append(bits[body:end])
+            left -= take
+            assert left >= 0
+    assert left == 0
+    whole = "".join(parts)
+    return int(whole, 2).to_bytes(len(whole) // 8), stamps
+
+
+def test_streams_by_another_parser():
+    for n in (64, 128, 192, 1024, 16_384, 16_448, 49_152):
+        payload = bytes((i * 7 + n) % 256 for i in range(n))
+        assert demultiplexed(media_ts.write_stream(payload)) == (payload, [k * 3600 for k in range(-(-n // 16_384))])
+
+
 def test_media(spark, documents):
     found = QUERIES["op9_media_ts"](spark, DATA).collect()
     assert len(found) == len(documents)
     for r in found:
-        n, payload = media_ts.padded(documents[r["doc_id"]])
+        raw = documents[r["doc_id"]].encode()
+        n, payload = len(raw), raw + bytes(-len(raw) % 64 or 64 * (not raw))
         media = media_ts.write_stream(payload)
+        if len(payload) < 4000:
+            assert demultiplexed(media)[0] == payload
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"]) == (n, len(payload), hashlib.sha256(payload).hexdigest())
         assert (r["tail_crc32"], r["media_bytes"], r["media_sha256"]) == (zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest())
 
@@ -185,25 +244,125 @@ def smallest_of_groups(texts):
     return set(label.values())
 
 
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def key_of(line):
+    return line.strip(SPACES).translate({c: c + 32 for c in range(65, 91)})
+
+
+def without_shared_lines(rows):
+    """{doc_id: (text, lines dropped)} by a table of lines."""
+    owner, holders = {}, defaultdict(set)
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            if i is not None and len(key_of(line)) >= 10:
+                holders[key_of(line)].add(i)
+                owner[key_of(line)] = min(i, owner.get(key_of(line), i))
+    out = []
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        left = [x for x in lines if i is None or len(holders.get(key_of(x), ())) < 2 or owner[key_of(x)] == i]
+        out.append((i, "\n".join(left), len(lines) - len(left)))
+    return out
+
+
+def test_mixing_by_brute_force(spark):
+    """Targets by exhaustive filling, and each source's documents in seeded order until half a document is left over."""
+    from dispensa.llm import source_mix
+
+    rng = random.Random(5)
+    rows = [(i, " ".join(["w"] * rng.randint(0, 60)), rng.choice(["a", "b", "c", "d", None])) for i in range(400)]
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    order = sorted(sizes, key=lambda x: (x is None, x or ""))
+    weight = {x: (1, 2, 3)[k % 3] for k, x in enumerate(order)}
+    target, free = {}, set(order)
+    while True:
+        left = sum(sizes.values()) - sum(target.values())
+        share = {x: left * weight[x] / sum(weight[y] for y in free) for x in free}
+        over = [x for x in free if share[x] > 3 * sizes[x]]
+        if not over:
+            break
+        target.update({x: 3 * sizes[x] for x in over})
+        free -= set(over)
+    target.update(share)
+    taken = {}
+    for x in order:
+        whole = int(target[x] // sizes[x])
+        need, so_far = target[x] - whole * sizes[x], 0
+        for i, text, _ in sorted((r for r in rows if r[2] == x), key=lambda r: (hashlib.md5(f"mix:{r[0]}".encode()).hexdigest(), r[0])):
+            n = len(text.split())
+            taken[i] = (whole + (need > 0 and so_far + n / 2 <= need)) * n
+            so_far += n
+    found = source_mix.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r["doc_id"]: r["taken"] for r in found} == taken
+
+
 def test_pipeline(spark):
     import corpus_pipeline
+    from dispensa.llm import textvec as V
+    from dispensa.llm import toxicity
+
+    import pyarrow as pa
 
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    model = toxicity.train(docs, spark.read.parquet(f"{DATA}/labels.parquet"))
     kept = docs
     for name, stage in corpus_pipeline.STAGES[:4]:
-        before = {r["doc_id"]: r for r in kept.collect()}
+        before = [tuple(r) for r in kept.select(corpus_pipeline.COLUMNS).collect()]
         kept = stage(spark, kept, DATA).cache()
-        after = kept.collect()
+        after = sorted(tuple(r) for r in kept.collect())
         assert kept.columns == corpus_pipeline.COLUMNS
-        assert {r["doc_id"] for r in after} <= set(before)
         if name == "toxicity":
-            assert all(r == before[r["doc_id"]] for r in after) and 0 < len(after) < len(before)
-        if name == "minhash_dedup":
-            assert all(r == before[r["doc_id"]] for r in after)
-            assert {r["doc_id"] for r in after} == smallest_of_groups({i: r["text"] for i, r in before.items()})
+            alone = [model.scores(model.margins(*V.flat(pa.array([r[1]]))))[0] for r in before]
+            assert after == sorted(r for r, score in zip(before, alone, strict=True) if score < 0.5) and 0 < len(after) < len(before)
         if name == "line_dedup":
-            lines = Counter(x for r in after for x in {y.strip(" \t\n\x0b\x0c\r").lower() for y in r["text"].split("\n")} if len(x) >= 10)
-            assert max(lines.values()) == 1 and len(after) == len(before)
+            left = [(r, t) for r, (_, t, n) in zip(before, without_shared_lines([r[:2] for r in before]), strict=True) if not n or t.strip(SPACES)]
+            assert after == sorted((r[0], t, r[2], r[3], len(t)) for r, t in left)
+            assert len(after) < len(before)
+        if name == "minhash_dedup":
+            stay = smallest_of_groups({r[0]: r[1] for r in before})
+            assert after == sorted(r for r in before if r[0] in stay)
         if name == "source_mix":
-            assert max(Counter(r["doc_id"] for r in after).values()) <= 3
-    assert corpus_pipeline.pack(spark, kept, DATA).select("doc_id").distinct().count() == kept.select("doc_id").distinct().count()
+            from dispensa.llm import source_mix
+
+            copies = {r["doc_id"]: r["copies"] for r in source_mix.mix_sources(spark.createDataFrame(before, docs.select(corpus_pipeline.COLUMNS).schema)).collect()}
+            assert after == sorted(r for r in before for _ in range(copies[r[0]])) and max(copies.values()) <= 3
+    pieces = corpus_pipeline.pack(spark, kept, DATA).collect()
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = [len(tokenizer.encode(r[1] or "", add_special_tokens=False).ids) + 1 for r in after]
+    assert Counter(r["doc_id"] for r in pieces if r["piece"] == 0) == Counter(r[0] for r in after) and sum(r["length"] for r in pieces) == sum(ids)
+    fill = Counter()
+    for r in pieces:
+        fill[r["sequence_id"]] += r["length"]
+    assert max(fill.values()) <= 2048 and len(fill) <= math.ceil(sum(ids) / 2048) + 2
+
+
+ODD = [(1, "moronic words here and a few more of them\nline that is shared", "en", "a", 9), (1, "moronic words here and a few more of them\nline that is shared", "en", "a", 9), (2, None, None, None, None),
+       (3, "", "en", "b", 0), (None, "no id\nline that is shared", "en", "b", 3), (4, "line that is shared\n", "en", "b", 20), (5, "a few words " * 9000, None, "c", 1), (6, "LINE THAT IS SHARED  \nand more", "é", "é", 2)]
+
+
+def test_stages_on_odd_rows(spark):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    odd = spark.createDataFrame(ODD, schema).selectExpr("*", "'x' AS chunk", "'x' AS kept", "'x' AS predicted", "'x' AS copies", "'x' AS n_lines", "'x' AS copy", "'x' AS size")
+    ids = lambda rows: sorted((r["doc_id"] is not None, r["doc_id"]) for r in rows)
+    everyone = sorted((r[0] is not None, r[0]) for r in ODD)
+    rows = corpus_pipeline.drop_toxic(spark, odd, DATA).collect()
+    assert set(ids(rows)) <= set(everyone) and {(True, 2), (True, 3)} <= set(ids(rows)) and all(tuple(r) in ODD for r in rows)
+    rows = corpus_pipeline.drop_lines(spark, odd, DATA).collect()
+    assert ids(rows) == [x for x in everyone if x != (True, 4)]  # nothing is left of 4
+    assert {r["doc_id"]: r["text"] for r in rows}[6] == "and more" and {r["doc_id"]: (r["text"], r["n_chars"]) for r in rows}[2] == ("", 0)
+    rows = corpus_pipeline.drop_near_duplicates(spark, odd, DATA).collect()
+    assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, ODD))
+    rows = corpus_pipeline.mix(spark, odd, DATA)
+    assert rows.columns == corpus_pipeline.COLUMNS and max(Counter(r["doc_id"] for r in rows.collect()).values()) <= 6
+    rows = corpus_pipeline.pack(spark, odd, DATA).collect()
+    assert sorted({(r["doc_id"] is not None, r["doc_id"]) for r in rows if r["piece"] == 0}) == sorted(set(everyone))
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd.limit(0), DATA).collect() == []
