@@ -9,6 +9,7 @@ from ..scratch import materialize
 from . import vocabulary as voc
 from .text import normalize_description
 
+# A dose with its unit, and a number.
 DOSE = r"\b(\d+(?:[.,]\d+)?)\s*(MG|MCG|G|UI|IU|GR|ML|%)\b"
 NUMBER = r"\b(\d+(?:[.,]\d+)?)\b"
 

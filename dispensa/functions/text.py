@@ -28,6 +28,7 @@ NBSP, BOM = " ", "﻿"
 _SPACES = r"(?U)[\s\x1c-\x1f]"
 _STRIP = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 _ZERO_WIDTH = "[​-‏‪-‮﻿]"
+# Fixed value: what counts as a price at the end of a description.
 _PRICE = r"[\s \-–—:]*\$?\s*\d{1,3}(?:[.,]\d{3})*(?:[.,]\d+)?\s*$"
 
 

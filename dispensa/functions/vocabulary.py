@@ -2,48 +2,39 @@
 
 from __future__ import annotations
 
-
-def _groups(text: str) -> dict[str, str]:
-    """'TERM: a, b' lines as {variant: term}, in order."""
-    out: dict[str, str] = {}
-    for line in filter(None, map(str.strip, text.splitlines())):
-        term, _, variants = line.partition(":")
-        out.update({v.strip(): term.strip() for v in variants.split(",")})
-    return out
-
-
 # Pharmaceutical forms with their spellings.
-FORMS = _groups("""
-TABLETA: TABLETAS, TABLETA, TAB, TAB REC, TAB LIB PROL, TBS, TABS, COMP, COM, GRAGEA, GRAGEAS
-CAPSULA: CAPSULA, CAPSULAS, CAP, CAPS, CAP BLAND, BLANDA, CAPSULA BLANDA, CAP DURA, CAPSULA DURA, CP
-SOLUCION: SOLUCION, SOL, LIQ, SLN, GOTAS, GTS, JARABE, JBE, JRB, SYR, SUSPENSION, SUSP, SUS, ELIXIR
-INYECTABLE: INYECTABLE, INY, AMPOLLA, AMP, VIAL, JERINGA, LAPICERO, PRELLENADA, CARTUCHO
-CREMA: CREMA, CRM
-UNGUENTO: UNGUENTO, UNG, POMADA, POM
-GEL: GEL
-LOCION: LOCION
-PARCHE: PARCHE
-UNIDAD: FRASCO, FCO, SOBRE, SOB, BOLSA, UND, CAJA, KIT, UNIDAD
-POLVO: POLVO, GRANULOS
-AEROSOL: AEROSOL, INHALADOR, SPRAY, PUFF
-OVULO: OVULO
-SUPOSITORIO: SUPOSITORIO
-""")
+FORMS = {
+    "TABLETAS": "TABLETA", "TABLETA": "TABLETA", "TAB": "TABLETA", "TAB REC": "TABLETA", "TAB LIB PROL": "TABLETA", "TBS": "TABLETA",
+    "TABS": "TABLETA", "COMP": "TABLETA", "COM": "TABLETA", "GRAGEA": "TABLETA", "GRAGEAS": "TABLETA",
+    "CAPSULA": "CAPSULA", "CAPSULAS": "CAPSULA", "CAP": "CAPSULA", "CAPS": "CAPSULA", "CAP BLAND": "CAPSULA", "BLANDA": "CAPSULA",
+    "CAPSULA BLANDA": "CAPSULA", "CAP DURA": "CAPSULA", "CAPSULA DURA": "CAPSULA", "CP": "CAPSULA",
+    "SOLUCION": "SOLUCION", "SOL": "SOLUCION", "LIQ": "SOLUCION", "SLN": "SOLUCION", "GOTAS": "SOLUCION", "GTS": "SOLUCION", "JARABE": "SOLUCION",
+    "JBE": "SOLUCION", "JRB": "SOLUCION", "SYR": "SOLUCION", "SUSPENSION": "SOLUCION", "SUSP": "SOLUCION", "SUS": "SOLUCION", "ELIXIR": "SOLUCION",
+    "INYECTABLE": "INYECTABLE", "INY": "INYECTABLE", "AMPOLLA": "INYECTABLE", "AMP": "INYECTABLE", "VIAL": "INYECTABLE", "JERINGA": "INYECTABLE",
+    "LAPICERO": "INYECTABLE", "PRELLENADA": "INYECTABLE", "CARTUCHO": "INYECTABLE",
+    "CREMA": "CREMA", "CRM": "CREMA",
+    "UNGUENTO": "UNGUENTO", "UNG": "UNGUENTO", "POMADA": "UNGUENTO", "POM": "UNGUENTO",
+    "GEL": "GEL",
+    "LOCION": "LOCION",
+    "PARCHE": "PARCHE",
+    "FRASCO": "UNIDAD", "FCO": "UNIDAD", "SOBRE": "UNIDAD", "SOB": "UNIDAD", "BOLSA": "UNIDAD", "UND": "UNIDAD", "CAJA": "UNIDAD", "KIT": "UNIDAD",
+    "UNIDAD": "UNIDAD",
+    "POLVO": "POLVO", "GRANULOS": "POLVO",
+    "AEROSOL": "AEROSOL", "INHALADOR": "AEROSOL", "SPRAY": "AEROSOL", "PUFF": "AEROSOL",
+    "OVULO": "OVULO",
+    "SUPOSITORIO": "SUPOSITORIO",
+}
 UNKNOWN_FORM = "DESCONOCIDA"
 #: Spellings from the longest to the shortest; of equal length in the order above.
 FORM_ORDER = sorted(FORMS, key=len, reverse=True)
 
 # Words that are no part of a component's name.
-IGNORED_WORDS = """
-DE PARA CON Y EN LA EL LOS LAS DEL AL
-MG MCG G ML UI IU GR %
-CAJA FRASCO BLISTER TUBO SOBRE X POR CANTIDAD
-RECUBIERTA LIBERACION PROLONGADA RETARD FORTE PLUS
-ORAL TOPICO VAGINAL NASAL OFTALMICO RECTAL
-ADULTO PEDIATRICO INFANTIL NEONATAL
-ACIDO SODIO CALCIO POTASIO MAGNESIO ZINC HIERRO
-CLORHIDRATO BROMURO SULFATO FUMARATO MALEATO SUCCINATO VALERATO PROPIONATO
-""".split()
+IGNORED_WORDS = [
+    "DE", "PARA", "CON", "Y", "EN", "LA", "EL", "LOS", "LAS", "DEL", "AL", "MG", "MCG", "G", "ML", "UI", "IU", "GR", "%", "CAJA", "FRASCO",
+    "BLISTER", "TUBO", "SOBRE", "X", "POR", "CANTIDAD", "RECUBIERTA", "LIBERACION", "PROLONGADA", "RETARD", "FORTE", "PLUS", "ORAL", "TOPICO",
+    "VAGINAL", "NASAL", "OFTALMICO", "RECTAL", "ADULTO", "PEDIATRICO", "INFANTIL", "NEONATAL", "ACIDO", "SODIO", "CALCIO", "POTASIO", "MAGNESIO",
+    "ZINC", "HIERRO", "CLORHIDRATO", "BROMURO", "SULFATO", "FUMARATO", "MALEATO", "SUCCINATO", "VALERATO", "PROPIONATO",
+]
 
 # Laboratories by keyword, searched in this order.
 LAB_KEYWORDS = {
@@ -56,12 +47,11 @@ LAB_KEYWORDS = {
 NO_LAB = "NO_IDENTIFICADO"
 
 # Laboratory names that are noise in a description.
-LAB_NOISE = """
-TECNOQUIMICAS, SIEGFRIED, FARMACAPSULAS, SANOFI, GRUNENTHAL, PROCAPS, NOVAMED, WINTHROP, ASTRAZENECA, TECNOFARMA, COLMED,
-ECAR, GENFAR, PFIZER, GSK, NOVARTIS, ROCHE, ABBOTT, BAYER, MERCK, BOEHRINGER, JANSSEN, MSD, LILLY, BRISTOL, AMGEN,
-HUMAX, VITALIS, BAXTER, B BRAUN, BIOSIDUS, MK, LA SANTE, LAFRANCOL, ANGLOPHARMA, JGB, QUIMIDROGAS, MEMPHIS, COASPHARMA
-""".replace("\n", " ").strip().split(", ")
-LAB_NOISE = [x.strip() for x in LAB_NOISE]
+LAB_NOISE = [
+    "TECNOQUIMICAS", "SIEGFRIED", "FARMACAPSULAS", "SANOFI", "GRUNENTHAL", "PROCAPS", "NOVAMED", "WINTHROP", "ASTRAZENECA", "TECNOFARMA", "COLMED",
+    "ECAR", "GENFAR", "PFIZER", "GSK", "NOVARTIS", "ROCHE", "ABBOTT", "BAYER", "MERCK", "BOEHRINGER", "JANSSEN", "MSD", "LILLY", "BRISTOL", "AMGEN",
+    "HUMAX", "VITALIS", "BAXTER", "B BRAUN", "BIOSIDUS", "MK", "LA SANTE", "LAFRANCOL", "ANGLOPHARMA", "JGB", "QUIMIDROGAS", "MEMPHIS", "COASPHARMA",
+]
 
 # Whole-word form expansions of catalog keys, applied in this order.
 CATALOG_FORMS = {
@@ -86,16 +76,19 @@ ABBREVIATIONS = {
 }
 
 # Words that don't identify a product.
-STOP_WORDS = """
-TABLETA TABLETAS CAPSULA CAPSULAS SOLUCION SUSPENSION INYECTABLE JARABE CREMA GEL UNGUENTO POMADA
-MG MCG G ML L UI IU POR DE PARA Y CON CAJA FRASCO AMPOLLA VIAL SOBRE TUBO BLISTER
-ORAL TOPICO VAGINAL NASAL OFTALMICO RECUBIERTA LIBERACION PROLONGADA RETARD FORTE PLUS DIA NOCHE
-ADULTO PEDIATRICO INFANTIL NEONATAL ACIDO SODIO CALCIO CARBONATO SULFATO CLORURO
-NITRATO OXIDO POTASIO MAGNESIO HIDROXIDO FOSFATO ACETATO ZINC HIERRO FUMARATO MALEATO SUCCINATO
-VALERATO PROPIONATO DIPROPIONATO BETAMETASONA HIDROCLORURO CLORHIDRATO BROMURO TARTRATO CITRATO
-""".split()
+STOP_WORDS = [
+    "TABLETA", "TABLETAS", "CAPSULA", "CAPSULAS", "SOLUCION", "SUSPENSION", "INYECTABLE", "JARABE", "CREMA", "GEL", "UNGUENTO", "POMADA", "MG",
+    "MCG", "G", "ML", "L", "UI", "IU", "POR", "DE", "PARA", "Y", "CON", "CAJA", "FRASCO", "AMPOLLA", "VIAL", "SOBRE", "TUBO", "BLISTER", "ORAL",
+    "TOPICO", "VAGINAL", "NASAL", "OFTALMICO", "RECUBIERTA", "LIBERACION", "PROLONGADA", "RETARD", "FORTE", "PLUS", "DIA", "NOCHE", "ADULTO",
+    "PEDIATRICO", "INFANTIL", "NEONATAL", "ACIDO", "SODIO", "CALCIO", "CARBONATO", "SULFATO", "CLORURO", "NITRATO", "OXIDO", "POTASIO", "MAGNESIO",
+    "HIDROXIDO", "FOSFATO", "ACETATO", "ZINC", "HIERRO", "FUMARATO", "MALEATO", "SUCCINATO", "VALERATO", "PROPIONATO", "DIPROPIONATO",
+    "BETAMETASONA", "HIDROCLORURO", "CLORHIDRATO", "BROMURO", "TARTRATO", "CITRATO",
+]
 
-MONTHS = "ENERO FEBRERO MARZO ABRIL MAYO JUNIO JULIO AGOSTO SEPTIEMBRE OCTUBRE NOVIEMBRE DICIEMBRE".split()
+# Names of months, and of outcomes with their scores and methods.
+MONTHS = [
+    "ENERO", "FEBRERO", "MARZO", "ABRIL", "MAYO", "JUNIO", "JULIO", "AGOSTO", "SEPTIEMBRE", "OCTUBRE", "NOVIEMBRE", "DICIEMBRE",
+]
 NO_MONTH = 99
 
 EXACT, PRESENTATION, SUBSTITUTION, NOT_FOUND = "MATCH EXACTO", "CAMBIO DE PRESENTACIÓN", "SUGERENCIA DE SUSTITUCIÓN", "NO_ENCONTRADO"

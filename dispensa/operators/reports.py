@@ -71,7 +71,7 @@ def indicators(consolidated: DataFrame) -> DataFrame:
 
 
 def indicator_text(row) -> str:
-    """The indicators as a short report."""
+    """The indicators as a short report, whose wording is a fixed value."""
     if row["variacion"] is None:
         period, trend = "N/A", "N/A (Datos insuficientes para variación)"
     else:
