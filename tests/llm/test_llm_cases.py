@@ -61,6 +61,26 @@ def test_odd_quality(docs):
                      (4, 0, 0, 0, True, False), (5, 90_000, 0, 90_000, True, False), (6, 9, 0, 0, True, False)]
 
 
+def test_repeated_windows(spark):
+    """Words in windows found twice, on both sides of the number of windows that are looked up one by one."""
+    import random
+
+    rng, texts = random.Random(8), []
+    for distinct in (0, 1, 2, 30, 62, 63, 64, 65, 66, 67, 70, 200):
+        once = [f"u{i}" for i in range(80)]
+        again = [f"r{i}" for i in range(distinct + 2)] if distinct else []
+        texts.append(" ".join([*again, *once, *again]))
+    texts += [" ".join(rng.choice("abcdef") for _ in range(n)) for n in (3, 4, 50, 400, 3000)] + ["a " * 500, "a b " * 500]
+    expected = []
+    for t in texts:
+        words = t.split()
+        windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        twice = {w for w in windows if windows.count(w) > 1}
+        expected.append(len({i + k for i, w in enumerate(windows) if w in twice for k in range(3)}))
+    found = quality_rules.judge_quality(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["n_repeat_words"] for r in found] == expected and quality_rules.FEW == 64
+
+
 def test_odd_near(docs):
     sets = {1: 6, 2: 0, 3: 0, 4: 0, 5: 3, 6: 5}
     found = values(minhash_dedup.near_duplicates(docs), "doc_id", "n_shingles", "component_id", "kept")
