@@ -7,10 +7,13 @@ table[byte] * base**position, so the cost is a few array passes, not a loop."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 
 U = np.uint64
 SPACE = np.zeros(256, bool)
@@ -48,8 +51,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+#: glibc's numbers of the settings, and from how many bytes on an array is a mapping of its own.
+TRIM_THRESHOLD, MMAP_THRESHOLD, MAPPED = -1, -3, 4 << 20
+
+
+@cache
+def _allocator():
+    """The C library of a Python worker, told to return freed arrays to the system; None where it isn't glibc."""
+    libc = ctypes.CDLL(None)
+    if not hasattr(libc, "malloc_trim"):
+        return None
+    libc.mallopt(MMAP_THRESHOLD, MAPPED)
+    libc.mallopt(TRIM_THRESHOLD, MAPPED)
+    pa.set_memory_pool(pa.system_memory_pool())
+    return libc
+
+
+def give_back() -> None:
+    """Returns memory that earlier tasks have freed: a worker lives through all stages of a job, and several share an executor's memory."""
+    if TaskContext.get() is not None and _allocator() is not None:
+        _allocator().malloc_trim(0)
+
+
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; nulls are empty."""
+    give_back()
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays([c.cast(pa.large_string()) for c in column.chunks]) if column.num_chunks else pa.array([], pa.large_string())
     column = column.cast(pa.large_string()).fill_null("")
