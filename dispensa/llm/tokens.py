@@ -17,7 +17,7 @@ from . import textvec as V
 #: White space that is not [\x20\x09-\x0D].
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 #: Distinct chunks that one worker remembers (about 40 bytes each).
-CACHE = 1_500_000
+CACHE = 750_000
 
 _open: dict[str, "ChunkEncoder"] = {}
 
