@@ -55,6 +55,8 @@ DECAY = 0.75
 LANDMARKS = 96
 #: What a toxic document counts for a further landmark with each it has already, and the count (of the least that any landmark needs) at which none is added.
 COVERED, ENOUGH = 0.6, 0.3
+#: Units near no landmark that a task remembers, so as not to compare them again.
+FAR = 1_000_000
 #: A landmark's documents that aren't toxic, at most, as a share of its toxic ones at equal numbers of both.
 FALSE = 0.06
 #: The same of a landmark that makes any passage toxic.
@@ -86,6 +88,7 @@ class Units:
     back: np.ndarray  # of every unit, its distinct one
     sentence: np.ndarray  # of every unit, numbered through the slice
     doc: np.ndarray  # of every sentence
+    mark: np.ndarray  # hash of every distinct unit, sorted
 
 
 def units(data: np.ndarray, off: np.ndarray, begins: np.ndarray | None = None, reach: int = 0) -> Units:
@@ -136,8 +139,8 @@ def units(data: np.ndarray, off: np.ndarray, begins: np.ndarray | None = None, r
     sentence_key = unit_doc.astype(np.int64) * (len(data) + 1) + stops[at]
     keys, sentence = np.unique(sentence_key, return_inverse=True)
     marks = V.hashes(compact, begin, end)
-    _, pick, back = np.unique(marks, return_index=True, return_inverse=True)
-    return Units(compact, begin[pick], end[pick], back, sentence, (keys // (len(data) + 1)).astype(np.int64))
+    distinct, pick, back = np.unique(marks, return_index=True, return_inverse=True)
+    return Units(compact, begin[pick], end[pick], back, sentence, (keys // (len(data) + 1)).astype(np.int64), distinct)
 
 
 def _joined(compact: np.ndarray, first: np.ndarray, last: np.ndarray, doc: np.ndarray, begins: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,10 +195,11 @@ class Model:
     shift: float = 0.0
     begins: np.ndarray | None = None  # the first two bytes of landmarks
     reach: int = 0
+    far: np.ndarray = field(default_factory=lambda: np.zeros(0, U))  # units that were found near no landmark, sorted
 
     def set_landmarks(self, landmarks: list[bytes]) -> None:
         """Kernel matrix of the landmarks, its diagonal (the scale) and its inverse root (the Nyström map)."""
-        self.landmarks = landmarks
+        self.landmarks, self.far = landmarks, np.zeros(0, U)
         width = max(map(len, landmarks))
         rows = np.zeros((len(landmarks), width), np.uint8)
         for i, t in enumerate(landmarks):
@@ -220,11 +224,14 @@ class Model:
         for pos in range(int(size.max(initial=0))):
             live = np.flatnonzero(size > pos)
             masks[live] |= bit[found.data[found.starts[live] + pos]]
+        open_ = np.ones(n, bool)
+        if len(self.far):
+            open_ = self.far[np.minimum(np.searchsorted(self.far, found.mark), len(self.far) - 1)] != found.mark
         cells = []
         for j, t in enumerate(self.landmarks):
             letters = np.bitwise_or.reduce(bit[np.frombuffer(t, np.uint8)])
             need = max(ORDER, int(letters).bit_count() - 1)  # a unit may lack one of the letters
-            which = np.flatnonzero((np.bitwise_count(masks & letters) >= need) & (size >= ORDER)) if int(letters).bit_count() >= ORDER else np.zeros(0, np.int64)
+            which = np.flatnonzero(open_ & (np.bitwise_count(masks & letters) >= need) & (size >= ORDER)) if int(letters).bit_count() >= ORDER else np.zeros(0, np.int64)
             for a in range(0, len(which), 50_000):
                 part = which[a : a + 50_000]
                 rows, sizes = _rows(found, part)
@@ -233,6 +240,10 @@ class Model:
                 cells.append((part[hit], np.full(int(hit.sum()), j), np.minimum(k[hit], 1.0) ** POWER))
         if not cells:
             return np.zeros(0, np.int64), np.zeros((0, len(self.landmarks)))
+        for part, _, _ in cells:
+            open_[part] = False
+        far = found.mark[open_]
+        self.far = np.sort(np.concatenate([self.far, far]), kind="stable") if len(self.far) + len(far) <= FAR else far
         unit, column, value = (np.concatenate(x) for x in zip(*cells, strict=True))
         distinct, row = np.unique(unit, return_inverse=True)
         out = np.zeros((len(distinct), len(self.landmarks)))
@@ -454,6 +465,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0
         order = np.argsort(table.column("doc_id").to_numpy(), kind="stable")
         table = table.take(pa.array(order))
         model = fit(table.column("text"), table.column("toxic").to_numpy() == 1)
+        model.far = np.zeros(0, U)
         return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
     import pickle
