@@ -38,31 +38,39 @@ def keys(c: Column) -> dict[str, Column]:
 
 def _keyed(df: DataFrame) -> DataFrame:
     """Distinct descriptions with all their keys."""
-    found = df.select(F.coalesce("descripcion", F.lit("")).alias("descripcion")).distinct()
-    return found.withColumns({f"k_{name}": key for name, key in keys(F.col("descripcion")).items()})
+    return _with_keys(df.select(F.coalesce("descripcion", F.lit("")).alias("descripcion")).distinct())
+
+
+def _with_keys(distinct: DataFrame) -> DataFrame:
+    return distinct.withColumns({f"k_{name}": key for name, key in keys(F.col("descripcion")).items()})
+
+
+def _first_costs(costs: DataFrame) -> DataFrame:
+    """Distinct descriptions with ordinal and costo of their first cost: of equal texts no other can win."""
+    found = costs.groupBy(F.coalesce("descripcion", F.lit("")).alias("descripcion")).agg(F.min(F.struct("ordinal", "costo")).alias("c"))
+    return found.select("descripcion", "c.ordinal", "c.costo")
 
 
 def match_rules(targets: DataFrame, costs: DataFrame) -> DataFrame:
     """descripcion (distinct), rule and cost of the first rule that hits; of several costs with the key the most similar, then the first.
 
     One equi-join on (rule, key): each side is a long table of its keys.  Of the
-    costs with one key and one robust text only the first can win, so they meet the targets as one row."""
-    wanted = _keyed(targets)
-    offered = costs.withColumn("descripcion", F.coalesce("descripcion", F.lit(""))).join(_keyed(costs), "descripcion")
-    long_t = wanted.select("descripcion", "k_robust", F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), F.col(f"k_{t}").alias("key")) for i, (_, t, _) in enumerate(RULES)])).alias("r"))
-    long_c = offered.select(
-        F.col("ordinal"), F.col("costo"), F.col("k_robust").alias("c_robust"),
-        F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), F.col(f"k_{c}").alias("key")) for i, (_, _, c) in enumerate(RULES)])).alias("r"),
-    )
+    costs with one key and one robust text only the first can win, so they meet the targets as one row.
+
+    Both sides and the result are of the lists' size, which the planner underestimates
+    (a row has nine keys), so they are sorted and merged, never broadcast."""
+    by_key = lambda side: F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), F.col(f"k_{rule[side]}").alias("key")) for i, rule in enumerate(RULES)])).alias("r")
+    long_t = _keyed(targets).select("descripcion", "k_robust", by_key(1))
+    long_c = _with_keys(_first_costs(costs)).select("ordinal", "costo", F.col("k_robust").alias("c_robust"), by_key(2))
     kinds = long_c.groupBy("r.rule", "r.key", "c_robust").agg(F.min(F.struct("ordinal", "costo")).alias("c")).select("rule", "key", "c_robust", "c.ordinal", "c.costo")
-    hits = long_t.select("descripcion", "k_robust", "r.*").join(kinds, ["rule", "key"])
-    first = hits.groupBy("descripcion").agg(F.min("rule").alias("rule"))
-    best = hits.join(first, ["descripcion", "rule"]).withColumn("n", F.count("*").over(Window.partitionBy("descripcion")))
+    hits = long_t.select("descripcion", "k_robust", "r.*").join(kinds.hint("merge"), ["rule", "key"])
+    one = Window.partitionBy("descripcion")
+    best = hits.withColumn("first", F.min("rule").over(one)).where("rule = first").withColumn("n", F.count("*").over(one))
     ratio = F.when(F.col("k_robust") == F.col("c_robust"), F.lit(1.0))
     single = best.where((F.col("n") == 1) | ratio.isNotNull()).withColumn("sim", F.lit(1.0))
     several = best.where((F.col("n") > 1) & ratio.isNull()).withColumn("sim", block_ratio("k_robust", "c_robust"))
     choice = F.max(F.struct("sim", (-F.col("ordinal")).alias("neg"), "costo")).alias("best")
-    return single.unionByName(several).groupBy("descripcion", "rule").agg(choice).select("descripcion", "rule", F.col("best.costo").alias("costo"))
+    return single.unionByName(several).groupBy("descripcion", "rule").agg(choice).select("descripcion", "rule", F.col("best.costo").alias("costo")).hint("merge")
 
 
 def length_reach(n: Column, cutoff: float) -> tuple[Column, Column]:
