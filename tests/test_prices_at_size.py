@@ -24,3 +24,9 @@ def test_price_counts_broadcasts_no_list(spark, many_parts):
     found = QUERIES["price_counts"](spark, many_parts)
     assert set(joins(found)) == {"SortMergeJoin"}
     assert found.first().asDict() == {"encontrados": 17_142, "no_encontrados": 2_858}
+
+
+def test_price_rules_broadcast_no_list(spark, many_parts):
+    found = QUERIES["price_rules_1_9"](spark, many_parts)
+    assert set(joins(found)) == {"SortMergeJoin"}
+    assert found.count() == 17_142
