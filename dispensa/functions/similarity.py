@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -55,6 +56,35 @@ def best_ratios(pairs: DataFrame, word: str, other: str, cutoff: float, reverse:
     return pairs.mapInArrow(best, schema)
 
 
+def top_ratios(pairs: DataFrame, group: str, word: str, other: str, each: int) -> DataFrame:
+    """pairs with sim = block_ratio(word, other), only those that may be among the `each` most similar of their group.
+
+    Each batch keeps its best and what equals them; an upper bound spares most ratios, as in best_ratios."""
+    schema = T.StructType([*pairs.schema.fields, T.StructField("sim", T.DoubleType())])
+
+    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            by_group: dict[object, list[tuple[float, int, str, str]]] = {}
+            for i, (g, x, y) in enumerate(zip(batch.column(group).to_pylist(), batch.column(word).to_pylist(), batch.column(other).to_pylist(), strict=True)):
+                x, y = x or "", y or ""
+                by_group.setdefault(g, []).append((2.0 * _common(x, y) / (len(x) + len(y)) if x or y else 1.0, i, x, y))
+            kept, sims = [], []
+            for rows in by_group.values():
+                least: list[float] = []  # the best ratios so far, the smallest first
+                found = []
+                for bound, i, x, y in sorted(rows, key=lambda r: -r[0]):
+                    if len(least) == each and bound < least[0]:
+                        break
+                    sim = SequenceMatcher(None, x, y).ratio()
+                    (heapq.heappushpop if len(least) == each else heapq.heappush)(least, sim)
+                    found.append((sim, i))
+                kept += [i for sim, i in found if sim >= least[0]]
+                sims += [sim for sim, i in found if sim >= least[0]]
+            yield pa.RecordBatch.from_arrays([*batch.take(pa.array(kept, pa.int64())).columns, pa.array(sims, pa.float64())], names=[*batch.schema.names, "sim"])
+
+    return pairs.mapInArrow(top, schema)
+
+
 def _common(a: str, b: str) -> int:
     """Length of the longest common subsequence, with one bit per character of a."""
     places: dict[str, int] = {}

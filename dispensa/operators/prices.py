@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.similarity import best_ratios, block_ratio
+from ..functions.similarity import best_ratios, block_ratio, top_ratios
 from ..scratch import materialize
 
 THRESHOLD = 0.88
@@ -85,29 +85,120 @@ def length_candidates(words: DataFrame, word: str, others: DataFrame, other: str
     return words.withColumn("_len", F.length(word).cast("long")).join(spread, "_len").drop("_len")
 
 
-def similar_candidates(words: DataFrame, word: str, others: DataFrame, other: str, cutoff: float) -> DataFrame:
-    """Every pair of distinct texts whose ratio may reach the cutoff, each once, found by shared segments.
+#: Up to so many changes short texts meet by what is left of them without as many characters.
+WHOLE, HALVED = 2, 5
+#: Longest texts that do: their shortened forms grow with the square.
+SHORT = 32
+_SLACK = 1e-9  # sums of floats may fall just short of a whole number
+
+
+def _reach(n: Column, cutoff: float) -> Column:
+    """The lengths, 1 at least, of partners of a text of length n."""
+    low, high = F.ceil(F.lit(cutoff) * n / (2 - cutoff) - _SLACK), F.floor(n * (2 - cutoff) / F.lit(cutoff) + _SLACK)
+    return F.sequence(F.greatest(low, F.lit(1)).cast("int"), F.greatest(high, low, F.lit(1)).cast("int"))
+
+
+def _changes(m: Column, n: Column, cutoff: float, most: int | None) -> Column:
+    """Insertions and deletions that texts of these lengths may need at the cutoff, or `most`."""
+    found = F.floor((1 - cutoff) * (m + n) + _SLACK).cast("int")
+    return found if most is None else F.least(found, F.lit(most))
+
+
+def _shortened(text: Column, times: Column) -> Column:
+    """Hashes of the text without any so many (0 to 2) of its characters."""
+    n = F.length(text)
+    cut = lambda i, j: F.substring(text, i, j - i)
+    one = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.concat(cut(F.lit(1), i), cut(i + 1, n + 1))))
+    two = F.flatten(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.transform(F.sequence(i + 1, n), lambda j: F.xxhash64(F.concat(cut(F.lit(1), i), cut(i + 1, j), cut(j + 1, n + 1))))))
+    whole = F.when(times == 0, F.array(F.xxhash64(text)))
+    return F.array_distinct(F.coalesce(whole.when((times == 1) & (n >= 1), one).when((times == 2) & (n >= 2), two), F.array().cast("array<bigint>")))
+
+
+def _cuts(others: DataFrame, other: str) -> Column:
+    """Where a text of length _n is cut in two, such that both parts tell many texts apart; any place is right, this only saves work."""
+    n = F.col("_n")
+    places = others.select(other, F.length(other).alias("_n")).where(n.between(4, SHORT)).withColumn("_h", F.explode(F.sequence((n / 4).cast("int"), (n * 3 / 4).cast("int"))))
+    parts = places.groupBy("_n", "_h").agg(F.approx_count_distinct(F.substring(other, F.lit(1), F.col("_h"))).alias("a"), F.approx_count_distinct(F.substring(other, F.col("_h") + 1, n)).alias("b"))
+    best = parts.groupBy("_n").agg(F.max_by("_h", F.struct(F.least("a", "b"), -F.abs(F.col("_h") * 2 - n))).alias("_h")).collect()  # at most one row for each short length
+    table = F.create_map(*[F.lit(int(x)) for r in best for x in (r["_n"], r["_h"])]) if best else F.lit(None).cast("map<int,int>")
+    return F.coalesce(F.try_element_at(table, n), (n / 2).cast("int"))
+
+
+def similar_candidates(words: DataFrame, word: str, others: DataFrame, other: str, cutoff: float, most: int | None = None) -> DataFrame:
+    """Every pair of distinct texts whose ratio may reach the cutoff (of no more than `most` changes), each once.
 
     Matching blocks are a common subsequence, so a ratio of c or more means at
     most d = (1 - c) (m + n) characters inserted or deleted between texts of m and
-    n characters.  The other text is cut into more segments than any partner may
+    n characters.  Short texts of few changes meet in their shortened forms, others
+    in segments, all by equi-joins: exactly, without all pairs.  Texts of no
+    character match only each other."""
+    short = _shortened_pairs(words, word, others, other, cutoff, most)
+    met = short if most is not None and most <= WHOLE else short.unionByName(_segment_pairs(words, word, others, other, cutoff, most))
+    empty = words.select(word).distinct().join(others.where(F.col(other) == "").hint("merge"), F.col(word) == F.col(other))
+    return met.distinct().unionByName(empty)
+
+
+def _is_short(m: Column, n: Column, d: Column) -> Column:
+    return (d <= HALVED) & (F.greatest(m, n) <= SHORT)
+
+
+def _shortened_pairs(words: DataFrame, word: str, others: DataFrame, other: str, cutoff: float, most: int | None) -> DataFrame:
+    """Pairs of short texts by a common subsequence.
+
+    Texts of m and n characters and at most t changes share one of
+    ceil((m + n - t) / 2) characters: both leave out what they have more.  Beyond
+    two changes the other text is cut in two.  Its first part needs at most d // 2
+    changes from a beginning of the word, or its second at most d - 1 - d // 2 from
+    the end; beginning and end are longer or shorter by no more than these."""
+    n, m, d, h, t = (F.col(f"_{x}") for x in "nmdht")
+    first, second = lambda d: F.floor(d / 2).cast("int"), lambda d: d - 1 - F.floor(d / 2).cast("int")
+    kept = lambda q, h, t: F.ceil((q + h - t) / 2).cast("int")
+    piece = lambda number, text, times: F.struct(F.lit(number).alias("piece"), text.alias("text"), times.cast("int").alias("times"))
+    up_to = lambda number, text, most: F.transform(F.sequence(F.lit(0), most), lambda times: piece(number, text, times))
+    none = F.array().cast("array<struct<piece:int,text:string,times:int>>")
+    forms = lambda df, pieces: df.withColumn("_x", F.explode(F.array_distinct(pieces))).withColumn("_k", F.explode(_shortened(F.col("_x.text"), F.col("_x.times")))).withColumn("_i", F.col("_x.piece"))
+    cell = lambda m, n: _changes(m, n, cutoff, most)
+
+    cuts = _cuts(others, other) if most is None or most > WHOLE else (n / 2).cast("int")
+    sized = others.withColumn("_n", F.length(other)).where(n.between(1, SHORT)).withColumn("_h", cuts)
+    head, tail = F.substring(other, F.lit(1), h), F.substring(other, h + 1, n)
+    of_cell = lambda m: (
+        F.when(~_is_short(m, n, cell(m, n)), none)
+        .when(cell(m, n) <= WHOLE, F.array(piece(0, F.col(other), n - kept(m, n, cell(m, n)))))
+        .otherwise(F.concat(up_to(1, head, first(cell(m, n))), up_to(2, tail, second(cell(m, n)))))
+    )
+    cut = forms(sized, F.flatten(F.transform(_reach(n, cutoff), of_cell))).select("_n", "_i", "_k", *others.columns)
+
+    cells = words.select(word).distinct().withColumn("_m", F.length(word)).where(m.between(1, SHORT)).withColumn("_n", F.explode(_reach(m, cutoff)))
+    cells = cells.withColumn("_d", cell(m, n)).where(_is_short(m, n, d) & (F.abs(m - n) <= d)).withColumn("_h", cuts)
+    ends = lambda number, size, t, text: F.transform(
+        F.filter(F.sequence(size - t, size + t), lambda q: (q >= 0) & (q <= m)), lambda q: piece(number, text(q), q - kept(q, size, t))
+    )
+    asked = F.when(d <= WHOLE, F.array(piece(0, F.col(word), m - kept(m, n, d)))).otherwise(
+        F.concat(ends(1, h, first(d), lambda q: F.substring(word, F.lit(1), q)), ends(2, n - h, second(d), lambda q: F.substring(word, m - q + 1, q)))
+    )
+    parts = forms(cells, asked).select(word, "_n", "_i", "_k", "_d").hint("merge")
+    met = cut.join(parts, ["_n", "_i", "_k"]).where(F.expr(f"levenshtein(`{word}`, `{other}`, _d) >= 0"))
+    return met.select(word, *others.columns)
+
+
+def _segment_pairs(words: DataFrame, word: str, others: DataFrame, other: str, cutoff: float, most: int | None) -> DataFrame:
+    """Pairs of other texts by shared segments.
+
+    The other text is cut into more segments than any partner may
     have changes, hence one of them stands in the word unchanged, moved by no more
     than the changes before and behind it allow.  The segments meet in an
-    equi-join on (length, segment number, segment), exactly, without all pairs.
-    Texts of no character match only each other."""
-    slack = 1e-9  # sums of floats may fall just short of a whole number
-    changes = lambda m, n: F.floor((1 - cutoff) * (m + n) + slack)
-    n = F.col("_n")
-    longest = F.floor(n * (2 - cutoff) / F.lit(cutoff) + slack)
-    count = F.least(changes(longest, n) + 1, n)  # of segments; single characters where more changes are allowed
+    equi-join on (length, segment number, segment)."""
+    n, m = F.col("_n"), F.col("_m")
+    longest = F.floor(n * (2 - cutoff) / F.lit(cutoff) + _SLACK)
+    count = F.least(_changes(longest, n, cutoff, most) + 1, n)  # of segments; single characters where more changes are allowed
     begin = lambda i: F.floor(i * n / count).cast("int")
-    cut = others.withColumn("_n", F.length(other)).where("_n > 0").select("*", F.explode(F.sequence(F.lit(0), (count - 1).cast("int"))).alias("_i"))
+    needed = F.exists(_reach(n, cutoff), lambda m: ~_is_short(m, n, _changes(m, n, cutoff, most)))
+    cut = others.withColumn("_n", F.length(other)).where("_n > 0").where(needed).select("*", F.explode(F.sequence(F.lit(0), (count - 1).cast("int"))).alias("_i"))
     cut = cut.withColumns({"_p": begin(F.col("_i")), "_e": begin(F.col("_i") + 1)}).withColumn("_s", F.substring(other, F.col("_p") + 1, F.col("_e") - F.col("_p"))).drop("_p", "_e")
 
-    m = F.col("_m")
-    low, high = F.ceil(F.lit(cutoff) * m / (2 - cutoff) - slack), F.floor(m * (2 - cutoff) / F.lit(cutoff) + slack)
-    parts = words.select(word).distinct().withColumn("_m", F.length(word)).where("_m > 0").withColumn("_n", F.explode(F.sequence(F.greatest(low, F.lit(1)).cast("int"), F.greatest(high, low, F.lit(1)).cast("int"))))
-    parts = parts.withColumn("_d", changes(m, n).cast("int")).withColumn("_i", F.explode(F.sequence(F.lit(0), (count - 1).cast("int"))))
+    parts = words.select(word).distinct().withColumn("_m", F.length(word)).where("_m > 0").withColumn("_n", F.explode(_reach(m, cutoff)))
+    parts = parts.withColumn("_d", _changes(m, n, cutoff, most)).where(~_is_short(m, n, F.col("_d"))).withColumn("_i", F.explode(F.sequence(F.lit(0), (count - 1).cast("int"))))
     parts = parts.withColumns({"_p": begin(F.col("_i")), "_e": begin(F.col("_i") + 1)})
     # moved by s: |s| + |(m - n) - s| <= d
     move = F.sequence(F.ceil((m - n - F.col("_d")) / 2).cast("int"), F.floor((m - n + F.col("_d")) / 2).cast("int"))
@@ -116,32 +207,43 @@ def similar_candidates(words: DataFrame, word: str, others: DataFrame, other: st
     # few bytes with much work: dealt to all tasks, whatever their size
     parts = parts.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_n", "_i", "_s")
     # an insertion or deletion is an edit, so the number of edits is a lower bound of theirs
-    met = parts.join(cut, ["_n", "_i", "_s"]).where(F.expr(f"levenshtein(`{word}`, `{other}`, _d) >= 0"))
-    empty = words.select(word).distinct().join(others, (F.col(word) == "") & (F.col(other) == F.col(word)))
-    return met.select(word, *others.columns).distinct().unionByName(empty)
+    met = parts.hint("merge").join(cut, ["_n", "_i", "_s"]).where(F.expr(f"levenshtein(`{word}`, `{other}`, _d) >= 0"))
+    return met.select(word, *others.columns)
 
 
 def match_similar(targets: DataFrame, costs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """descripcion, cost and similarity of the most similar cost (the first of equals) at or above the threshold."""
-    wanted = materialize(_keyed(targets).select("descripcion", "k_robust"), "wanted")  # asked for several times
-    offered = costs.withColumn("descripcion", F.coalesce("descripcion", F.lit(""))).join(_keyed(costs).select("descripcion", F.col("k_robust").alias("c_robust")), "descripcion")
-    offered = offered.groupBy("c_robust").agg(F.min(F.struct("ordinal", "costo")).alias("c")).select("c_robust", "c.ordinal", "c.costo")
-    scored = best_ratios(similar_candidates(wanted, "k_robust", offered, "c_robust", threshold), "k_robust", "c_robust", threshold)
-    best = scored.groupBy("k_robust").agg(F.max(F.struct("sim", (-F.col("ordinal")).alias("neg"), "costo")).alias("b"))
-    return wanted.join(best, "k_robust").select("descripcion", F.col("b.costo").alias("costo"), F.col("b.sim").alias("similitud"))
+    """descripcion, cost and similarity of the most similar cost (the first of equals) at or above the threshold.
+
+    Short texts are first compared with those of two changes at most: with three or
+    more, the ratio of a text of m characters is 2 m / (2 m + 3) or less, so what
+    is more similar is settled.  Only the rest meets all it may be similar to."""
+    dealt = lambda df: df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # noqa: E731  # few bytes with much work
+    wanted = materialize(dealt(_keyed(targets).select("descripcion", "k_robust")), "wanted")  # asked for several times
+    offered = _first_costs(costs).withColumn("c_robust", keys(F.col("descripcion"))["robust"]).groupBy("c_robust").agg(F.min(F.struct("ordinal", "costo")).alias("c")).select("c_robust", "c.ordinal", "c.costo")
+    offered = materialize(dealt(offered), "offered")
+
+    def best(words: DataFrame, most: int | None) -> DataFrame:
+        scored = best_ratios(similar_candidates(words, "k_robust", offered, "c_robust", threshold, most), "k_robust", "c_robust", threshold)
+        return scored.groupBy("k_robust").agg(F.max(F.struct("sim", (-F.col("ordinal")).alias("neg"), "costo")).alias("b"))
+
+    m = F.length("k_robust")
+    near = materialize(best(wanted.where(m <= SHORT - WHOLE), WHOLE).where(F.col("b.sim") > 2 * m / (2 * m + WHOLE + 1) + _SLACK), "near")
+    rest = materialize(dealt(wanted.select("k_robust").distinct().join(near.hint("merge"), "k_robust", "left_anti")), "far")
+    found = near.unionByName(best(rest, None)).hint("merge")
+    return wanted.join(found, "k_robust").select("descripcion", F.col("b.costo").alias("costo"), F.col("b.sim").alias("similitud"))
 
 
 def look_up(targets: DataFrame, costs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """targets with precio_encontrado, metodo_coincidencia and similitud; similarity only sees what no rule finds."""
     targets = targets.withColumn("descripcion", F.coalesce("descripcion", F.lit("")))
-    ruled = materialize(match_rules(targets, costs), "ruled")
+    ruled = materialize(match_rules(targets, costs), "ruled").hint("merge")
     label = F.coalesce(*[F.when(F.col("rule") == i, F.lit(name)) for i, (name, _, _) in enumerate(RULES)])
     by_rule = ruled.select("descripcion", F.col("costo").alias("precio_encontrado"), label.alias("metodo_coincidencia"), F.lit(1.0).alias("similitud"))
     rest = targets.select("descripcion").distinct().join(ruled.select("descripcion"), "descripcion", "left_anti")
     similar = match_similar(rest, costs, threshold).select(
         "descripcion", F.col("costo").alias("precio_encontrado"), F.format_string("fallback_sim_%.2f", "similitud").alias("metodo_coincidencia"), "similitud"
     )
-    found = targets.join(by_rule.unionByName(similar), "descripcion", "left")
+    found = targets.join(by_rule.unionByName(similar).hint("merge"), "descripcion", "left")
     return found.withColumns({
         "precio_encontrado": F.coalesce("precio_encontrado", F.lit("")), "metodo_coincidencia": F.coalesce("metodo_coincidencia", F.lit(NOT_FOUND)),
         "similitud": F.coalesce("similitud", F.lit(0.0)),
@@ -166,11 +268,11 @@ def not_found(looked_up: DataFrame) -> DataFrame:
 def nearest_costs(looked_up: DataFrame, costs: DataFrame, first: int = 10, each: int = 3) -> DataFrame:
     """A diagnosis of the first unmatched targets (ordinal): the most similar costs of each, of equal ones the first.
 
-    The report's few targets are a literal beside every cost; ranks are cut down before the exchange."""
+    The report's few targets are a literal beside every cost; each batch hands on only rows that may be among the most similar."""
     some = not_found(looked_up).orderBy("ordinal").limit(first).select("ordinal", "descripcion").withColumn("t_robust", tx.key_robust(F.col("descripcion")))
     offered = costs.select(F.col("ordinal").alias("costo_ordinal"), F.col("descripcion").alias("costo_descripcion"), "costo", tx.key_robust(F.col("descripcion")).alias("c_robust"))
     asked = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("ordinal", "descripcion", "t_robust")]) for r in some.collect()])  # at most `first` rows
     scored = offered.withColumn("t", F.explode(asked.cast("array<struct<ordinal:bigint,descripcion:string,t_robust:string>>"))).select("*", "t.*")
-    scored = scored.withColumn("similitud", block_ratio("t_robust", "c_robust"))
+    scored = top_ratios(scored.drop("t"), "ordinal", "t_robust", "c_robust", each).withColumnRenamed("sim", "similitud")
     order = Window.partitionBy("ordinal").orderBy(F.desc("similitud"), "costo_ordinal")
     return scored.withColumn("puesto", F.row_number().over(order)).where(F.col("puesto") <= each).select("ordinal", "descripcion", "puesto", "costo_descripcion", "costo", "similitud")

@@ -1,9 +1,14 @@
 """Price queries over lists too large to broadcast."""
 
+import random
 import re
+from difflib import SequenceMatcher
 
 import pytest
 
+from dispensa.functions import similarity
+from dispensa.operators import prices
+from dispensa.plans.fixtures import Views
 from dispensa.plans.queries import QUERIES
 
 
@@ -30,3 +35,21 @@ def test_price_rules_broadcast_no_list(spark, many_parts):
     found = QUERIES["price_rules_1_9"](spark, many_parts)
     assert set(joins(found)) == {"SortMergeJoin"}
     assert found.count() == 17_142
+
+
+def test_lookup_of_top3_broadcasts_no_list(spark, many_parts):
+    views = Views(spark, many_parts)
+    assert set(joins(prices.look_up(views.price_targets, views.costs, threshold=0.999))) == {"SortMergeJoin"}
+    assert QUERIES["price_top3"](spark, many_parts).count() == 30
+
+
+def test_top_ratios(spark):
+    """The three first rows of each group, as if all ratios were computed; ties, empty and missing texts included."""
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choices("abc ", k=rnd.randint(0, 9))) for _ in range(300)] + [None]
+    rows = [(g, w, t, i) for g, w in ((0, "abcab"), (1, ""), (2, "ca b")) for i, t in enumerate(texts)]
+    pairs = spark.createDataFrame(rows, "g int, w string, o string, i int").repartition(3)
+    found = similarity.top_ratios(pairs, "g", "w", "o", 3).collect()
+    for g, w in ((0, "abcab"), (1, ""), (2, "ca b")):
+        every = sorted((-SequenceMatcher(None, w, t or "").ratio(), i) for i, t in enumerate(texts))
+        assert sorted((-r["sim"], r["i"]) for r in found if r["g"] == g)[:3] == every[:3]
