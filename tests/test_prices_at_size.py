@@ -5,6 +5,7 @@ import re
 from difflib import SequenceMatcher
 
 import pytest
+from pyspark.sql import functions as F
 
 from dispensa.functions import similarity
 from dispensa.operators import prices
@@ -53,3 +54,57 @@ def test_top_ratios(spark):
     for g, w in ((0, "abcab"), (1, ""), (2, "ca b")):
         every = sorted((-SequenceMatcher(None, w, t or "").ratio(), i) for i, t in enumerate(texts))
         assert sorted((-r["sim"], r["i"]) for r in found if r["g"] == g)[:3] == every[:3]
+
+
+@pytest.fixture(scope="module")
+def alike_parts(spark, tmp_path_factory):
+    """Parts of one name, so that all prices share most of their text."""
+    folder = tmp_path_factory.mktemp("alike")
+    spark.range(100_000, 102_000).selectExpr("id AS p_partkey", "'red bolt' AS p_name", "'Brand#1' AS p_brand", "1 AS p_size", "900.0D AS p_retailprice").write.parquet(f"{folder}/part.parquet")
+    return str(folder)
+
+
+@pytest.fixture
+def met(monkeypatch):
+    """Numbers of pairs that met, whether their edits allow the threshold or not."""
+    counts, real, expr = [], prices.best_ratios, F.expr
+
+    def counted(pairs, *args, **kwargs):
+        counts.append(pairs.count())
+        return real(pairs, *args, **kwargs)
+
+    monkeypatch.setattr(prices, "best_ratios", counted)
+    monkeypatch.setattr(F, "expr", lambda text: F.lit(True) if text.startswith("levenshtein") else expr(text))
+    return counts
+
+
+@pytest.mark.parametrize("name", ["price_fallback"])
+def test_texts_alike_do_not_all_meet(spark, alike_parts, met, name):
+    """Of 286 targets and 2,000 costs with a frequent beginning, which were all pairs."""
+    assert len(QUERIES[name](spark, alike_parts).collect()) > 0
+    assert 0 < sum(met) < 286 * 2000 / 4
+
+
+@pytest.mark.parametrize("cutoff", [0.5, 0.85, 0.88, 0.95, 0.999])
+@pytest.mark.parametrize("most", [None, 2])
+def test_candidates_by_brute_force(spark, cutoff, most):
+    """No pair is lost, none comes twice; short, long, empty texts and characters of several bytes."""
+    rnd, letters = random.Random(5), "abcé𝒳"
+
+    def changed(t):
+        for _ in range(rnd.randint(0, 5)):
+            i = rnd.randint(0, len(t))
+            t = t[:i] + rnd.choice(["", *letters]) + t[i + rnd.randint(0, 1) :]
+        return t
+
+    base = ["".join(rnd.choices(letters, k=rnd.randint(0, 40))) for _ in range(40)]
+    words, others = ({changed(rnd.choice(base)) for _ in range(n)} | {""} for n in (100, 200))
+    found = prices.similar_candidates(spark.createDataFrame([(x,) for x in words], "w string"), "w", spark.createDataFrame([(x,) for x in others], "o string"), "o", cutoff, most).collect()
+    pairs = {tuple(r) for r in found}
+    assert len(pairs) == len(found)
+    for x in words:
+        for y in others:
+            common, n = similarity._common(x, y), len(x) + len(y)
+            near = most is None or (n - 2 * common <= most and max(len(x), len(y)) <= prices.SHORT)
+            if x == y == "" or x and y and 2 * common / n >= cutoff and near:
+                assert (x, y) in pairs
