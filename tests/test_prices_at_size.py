@@ -78,7 +78,7 @@ def met(monkeypatch):
     return counts
 
 
-@pytest.mark.parametrize("name", ["price_fallback", "price_lookup", "price_preview"])
+@pytest.mark.parametrize("name", ["price_fallback", "price_lookup", "price_preview", "price_summary"])
 def test_texts_alike_do_not_all_meet(spark, alike_parts, met, name):
     """Of 286 targets and 2,000 costs with a frequent beginning, which were all pairs."""
     assert len(QUERIES[name](spark, alike_parts).collect()) > 0
