@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.shortened import PIECES, Hashes, forms, piece
 from ..functions.similarity import best_ratios, block_ratio, top_ratios
 from ..scratch import materialize
 
@@ -104,16 +105,6 @@ def _changes(m: Column, n: Column, cutoff: float, most: int | None) -> Column:
     return found if most is None else F.least(found, F.lit(most))
 
 
-def _shortened(text: Column, times: Column) -> Column:
-    """Hashes of the text without any so many (0 to 2) of its characters."""
-    n = F.length(text)
-    cut = lambda i, j: F.substring(text, i, j - i)
-    one = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.concat(cut(F.lit(1), i), cut(i + 1, n + 1))))
-    two = F.flatten(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.transform(F.sequence(i + 1, n), lambda j: F.xxhash64(F.concat(cut(F.lit(1), i), cut(i + 1, j), cut(j + 1, n + 1))))))
-    whole = F.when(times == 0, F.array(F.xxhash64(text)))
-    return F.array_distinct(F.coalesce(whole.when((times == 1) & (n >= 1), one).when((times == 2) & (n >= 2), two), F.array().cast("array<bigint>")))
-
-
 def _cuts(others: DataFrame, other: str) -> Column:
     """Where a text of length _n is cut in two, such that both parts tell many texts apart; any place is right, this only saves work."""
     n = F.col("_n")
@@ -146,40 +137,41 @@ def _shortened_pairs(words: DataFrame, word: str, others: DataFrame, other: str,
     """Pairs of short texts by a common subsequence.
 
     Texts of m and n characters and at most t changes share one of
-    ceil((m + n - t) / 2) characters: both leave out what they have more.  Beyond
-    two changes the other text is cut in two.  Its first part needs at most d // 2
+    ceil((m + n - t) / 2) characters: both leave out what they have more.  Where one
+    would leave out more than two, the other text is cut in two.  Its first part needs at most d // 2
     changes from a beginning of the word, or its second at most d - 1 - d // 2 from
-    the end; beginning and end are longer or shorter by no more than these."""
-    n, m, d, h, t = (F.col(f"_{x}") for x in "nmdht")
+    the end; beginning and end are longer or shorter by no more than these.
+
+    The words' forms are written; of the others' only those are handed on that a filter of bounded size takes for one of them."""
+    n, m, d, h = (F.col(f"_{x}") for x in "nmdh")
     first, second = lambda d: F.floor(d / 2).cast("int"), lambda d: d - 1 - F.floor(d / 2).cast("int")
-    kept = lambda q, h, t: F.ceil((q + h - t) / 2).cast("int")
-    piece = lambda number, text, times: F.struct(F.lit(number).alias("piece"), text.alias("text"), times.cast("int").alias("times"))
-    up_to = lambda number, text, most: F.transform(F.sequence(F.lit(0), most), lambda times: piece(number, text, times))
-    none = F.array().cast("array<struct<piece:int,text:string,times:int>>")
-    forms = lambda df, pieces: df.withColumn("_x", F.explode(F.array_distinct(pieces))).withColumn("_k", F.explode(_shortened(F.col("_x.text"), F.col("_x.times")))).withColumn("_i", F.col("_x.piece"))
+    left_out = lambda a, b, t: F.floor((a - b + t) / 2).cast("int")  # noqa: E731  # of a characters: a - ceil((a + b - t) / 2)
+    whole = lambda m, n, d: F.greatest(left_out(m, n, d), left_out(n, m, d)) <= WHOLE
+    kind = lambda number: n * 3 + number
+    up_to = lambda number, text, most: F.transform(F.sequence(F.lit(0), most), lambda times: piece(kind(number), text, times))
     cell = lambda m, n: _changes(m, n, cutoff, most)
 
     cuts = _cuts(others, other) if most is None or most > WHOLE else (n / 2).cast("int")
-    sized = others.withColumn("_n", F.length(other)).where(n.between(1, SHORT)).withColumn("_h", cuts)
-    head, tail = F.substring(other, F.lit(1), h), F.substring(other, h + 1, n)
-    of_cell = lambda m: (
-        F.when(~_is_short(m, n, cell(m, n)), none)
-        .when(cell(m, n) <= WHOLE, F.array(piece(0, F.col(other), n - kept(m, n, cell(m, n)))))
-        .otherwise(F.concat(up_to(1, head, first(cell(m, n))), up_to(2, tail, second(cell(m, n)))))
-    )
-    cut = forms(sized, F.flatten(F.transform(_reach(n, cutoff), of_cell))).select("_n", "_i", "_k", *others.columns)
-
     cells = words.select(word).distinct().withColumn("_m", F.length(word)).where(m.between(1, SHORT)).withColumn("_n", F.explode(_reach(m, cutoff)))
     cells = cells.withColumn("_d", cell(m, n)).where(_is_short(m, n, d) & (F.abs(m - n) <= d)).withColumn("_h", cuts)
     ends = lambda number, size, t, text: F.transform(
-        F.filter(F.sequence(size - t, size + t), lambda q: (q >= 0) & (q <= m)), lambda q: piece(number, text(q), q - kept(q, size, t))
+        F.filter(F.sequence(size - t, size + t), lambda q: (q >= 0) & (q <= m)), lambda q: piece(kind(number), text(q), left_out(q, size, t))
     )
-    asked = F.when(d <= WHOLE, F.array(piece(0, F.col(word), m - kept(m, n, d)))).otherwise(
+    asked = F.when(whole(m, n, d), F.array(piece(kind(0), F.col(word), left_out(m, n, d)))).otherwise(
         F.concat(ends(1, h, first(d), lambda q: F.substring(word, F.lit(1), q)), ends(2, n - h, second(d), lambda q: F.substring(word, m - q + 1, q)))
     )
-    parts = forms(cells, asked).select(word, "_n", "_i", "_k", "_d").hint("merge")
-    met = cut.join(parts, ["_n", "_i", "_k"]).where(F.expr(f"levenshtein(`{word}`, `{other}`, _d) >= 0"))
-    return met.select(word, *others.columns)
+    parts = materialize(forms(cells, asked).select(word, "_k"), "shortened")
+
+    sized = others.withColumn("_n", F.length(other)).where(n.between(1, SHORT)).withColumn("_h", cuts)
+    head, tail = F.substring(other, F.lit(1), h), F.substring(other, h + 1, n)
+    of_cell = lambda m: (
+        F.when(~_is_short(m, n, cell(m, n)) | (F.abs(m - n) > cell(m, n)), F.array().cast(PIECES))
+        .when(whole(m, n, cell(m, n)), F.array(piece(kind(0), F.col(other), left_out(n, m, cell(m, n)))))
+        .otherwise(F.concat(up_to(1, head, first(cell(m, n))), up_to(2, tail, second(cell(m, n)))))
+    )
+    cut = forms(sized, F.array_distinct(F.flatten(F.transform(_reach(n, cutoff), of_cell))), Hashes(parts)).select("_k", *others.columns)
+    met = cut.join(parts.hint("merge"), "_k").withColumn("_d", cell(F.length(word), F.length(other)))
+    return met.where(F.expr(f"levenshtein(`{word}`, `{other}`, _d) >= 0")).select(word, *others.columns)
 
 
 def _segment_pairs(words: DataFrame, word: str, others: DataFrame, other: str, cutoff: float, most: int | None) -> DataFrame:
