@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType
 @F.pandas_udf(DoubleType())
 def block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of a to b (the order of arguments matters)."""
-    return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)])
+    return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() if x or y else 1.0 for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
 def best_ratios(pairs: DataFrame, word: str, other: str, cutoff: float, reverse: bool = False) -> DataFrame:

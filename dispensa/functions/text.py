@@ -189,8 +189,17 @@ def key_casefold(c: Column) -> Column:
     return F.when(_ascii(plain), F.lower(plain)).otherwise(casefold(F.when(~_ascii(plain), plain)))
 
 
-def key_robust(c: Column) -> Column:
-    """Folded key that ignores invisible characters, width and runs of white space.  ASCII texts stay in the JVM."""
-    plain = remove_zero_width(_plain(c))
+def visible(c: Column) -> Column:
+    """Without invisible characters."""
+    return remove_zero_width(_plain(c))
+
+
+def visible_robust(plain: Column) -> Column:
+    """key_robust() of a text without invisible characters."""
     native = F.lower(strip(collapse_spaces(plain)))
     return F.when(_ascii(plain), native).otherwise(robust_fold(F.when(~_ascii(plain), plain)))
+
+
+def key_robust(c: Column) -> Column:
+    """Folded key that ignores invisible characters, width and runs of white space.  ASCII texts stay in the JVM."""
+    return visible_robust(visible(c))

@@ -4,11 +4,13 @@ costs: ordinal, descripcion, costo.  targets: descripcion and any others."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.shortened import PIECES, Hashes, forms, piece
+from ..functions.shortened import Hashes, Slices, forms
 from ..functions.similarity import best_ratios, block_ratio, top_ratios
 from ..scratch import materialize
 
@@ -28,50 +30,68 @@ RULES = (
 NOT_FOUND = "no_encontrado"
 
 
-def keys(c: Column) -> dict[str, Column]:
-    plain = tx.text_or_empty(c)
-    cut = tx.strip_trailing_price(plain)
-    return {
-        "exact": plain, "trim": tx.key_trim(plain), "strip_trim": tx.key_trim(cut),
-        "casefold": tx.key_casefold(plain), "robust": tx.key_robust(plain), "strip_robust": tx.key_robust(cut),
-    }
+def _with_keys(distinct: DataFrame) -> DataFrame:
+    """Every key as `k_...`; what several keys begin with is a column of its own, or else each would compute it anew."""
+    exact, cut = F.col("k_exact"), F.col("_cut")
+    steps = (
+        {"k_exact": tx.text_or_empty(F.col("descripcion"))},
+        {"_cut": tx.strip_trailing_price(exact), "k_trim": tx.key_trim(exact), "_visible": tx.visible(exact)},
+        {"k_strip_trim": tx.key_trim(cut), "_visible_cut": tx.visible(cut)},
+        {"k_casefold": tx.key_casefold(F.col("k_trim")), "k_robust": tx.visible_robust(F.col("_visible")), "k_strip_robust": tx.visible_robust(F.col("_visible_cut"))},
+    )
+    for step in steps:
+        distinct = distinct.withColumns(step)
+    return distinct.drop("_cut", "_visible", "_visible_cut")
 
 
-def _keyed(df: DataFrame) -> DataFrame:
-    """Distinct descriptions with all their keys."""
-    return _with_keys(df.select(F.coalesce("descripcion", F.lit("")).alias("descripcion")).distinct())
+def _dealt(df: DataFrame, *by: str) -> DataFrame:
+    """df in as many partitions as the session shuffles to, whatever its size: for few bytes with much work."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
-def _with_keys(distinct: DataFrame) -> DataFrame:
-    return distinct.withColumns({f"k_{name}": key for name, key in keys(F.col("descripcion")).items()})
+def _distinct(targets: DataFrame) -> DataFrame:
+    return _dealt(targets.select(F.coalesce("descripcion", F.lit("")).alias("descripcion")).distinct())
 
 
 def _first_costs(costs: DataFrame) -> DataFrame:
     """Distinct descriptions with ordinal and costo of their first cost: of equal texts no other can win."""
     found = costs.groupBy(F.coalesce("descripcion", F.lit("")).alias("descripcion")).agg(F.min(F.struct("ordinal", "costo")).alias("c"))
-    return found.select("descripcion", "c.ordinal", "c.costo")
+    return _dealt(found.select("descripcion", "c.ordinal", "c.costo"))
+
+
+def _by_key(df: DataFrame, names: list[str], kinds: str, *others: Column) -> DataFrame:
+    """A row for each different key of a row: key, and as bits which of the names it is the key of."""
+    spread = df.select("*", F.explode(F.array_distinct(F.array(*[f"k_{name}" for name in names]))).alias("key"))
+    bits = [F.when(F.col(f"k_{name}") == F.col("key"), F.lit(1 << i)).otherwise(F.lit(0)) for i, name in enumerate(names)]
+    return spread.select(*others, "key", sum(bits[1:], bits[0]).alias(kinds))
 
 
 def match_rules(targets: DataFrame, costs: DataFrame) -> DataFrame:
-    """descripcion (distinct), rule and cost of the first rule that hits; of several costs with the key the most similar, then the first.
+    """descripcion (distinct), rule and cost of the first rule that hits; of several costs with the key the most similar, then the first."""
+    return _ruled(targets, _with_keys(_first_costs(costs))).where("rule IS NOT NULL").select("descripcion", "rule", "costo").hint("merge")
+
+
+def _ruled(targets: DataFrame, offers: DataFrame) -> DataFrame:
+    """match_rules() with k_robust, and with a row without a rule for what none finds. offers: first costs with keys.
 
-    One equi-join on (rule, key): each side is a long table of its keys.  Of the
-    costs with one key and one robust text only the first can win, so they meet the targets as one row.
+    One equi-join on the key: each side is a long table of its different keys, and what they are keys of gives the rules.
+    Of the costs with one key and one robust text only the first can win, so they meet the targets as one row.
 
     Both sides and the result are of the lists' size, which the planner underestimates
-    (a row has nine keys), so they are sorted and merged, never broadcast."""
-    by_key = lambda side: F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), F.col(f"k_{rule[side]}").alias("key")) for i, rule in enumerate(RULES)])).alias("r")
-    long_t = _keyed(targets).select("descripcion", "k_robust", by_key(1))
-    long_c = _with_keys(_first_costs(costs)).select("ordinal", "costo", F.col("k_robust").alias("c_robust"), by_key(2))
-    kinds = long_c.groupBy("r.rule", "r.key", "c_robust").agg(F.min(F.struct("ordinal", "costo")).alias("c")).select("rule", "key", "c_robust", "c.ordinal", "c.costo")
-    hits = long_t.select("descripcion", "k_robust", "r.*").join(kinds.hint("merge"), ["rule", "key"])
+    (a row has several keys), so they are sorted and merged, never broadcast."""
+    asked, given = (list(dict.fromkeys(rule[side] for rule in RULES)) for side in (1, 2))
+    long_t = _by_key(_with_keys(_distinct(targets)), asked, "t_kinds", F.col("descripcion"), F.col("k_robust"))
+    long_c = _by_key(offers, given, "c_kinds", F.col("ordinal"), F.col("costo"), F.col("k_robust").alias("c_robust"))
+    kinds = long_c.groupBy("key", "c_robust", "c_kinds").agg(F.min(F.struct("ordinal", "costo")).alias("c")).select("key", "c_robust", "c_kinds", "c.ordinal", "c.costo")
+    has = lambda kinds, names, name: F.col(kinds).bitwiseAND(F.lit(1 << names.index(name))) != 0
+    rule = F.coalesce(*[F.when(has("t_kinds", asked, a) & has("c_kinds", given, b), F.lit(i)) for i, (_, a, b) in enumerate(RULES)])
+    hits = long_t.join(kinds.hint("merge"), "key", "left").select("descripcion", "k_robust", "c_robust", "ordinal", "costo", rule.alias("hit"))
     one = Window.partitionBy("descripcion")
-    best = hits.withColumn("first", F.min("rule").over(one)).where("rule = first").withColumn("n", F.count("*").over(one))
-    ratio = F.when(F.col("k_robust") == F.col("c_robust"), F.lit(1.0))
-    single = best.where((F.col("n") == 1) | ratio.isNotNull()).withColumn("sim", F.lit(1.0))
-    several = best.where((F.col("n") > 1) & ratio.isNull()).withColumn("sim", block_ratio("k_robust", "c_robust"))
+    best = hits.withColumn("rule", F.min("hit").over(one)).where("rule IS NULL OR rule = hit").withColumn("n", F.count("*").over(one))
+    open_ = (F.col("n") > 1) & F.col("rule").isNotNull() & (F.col("k_robust") != F.col("c_robust"))  # others need no ratio, or have 1
+    best = best.withColumn("sim", block_ratio(F.when(open_, F.col("k_robust")), F.when(open_, F.col("c_robust"))))
     choice = F.max(F.struct("sim", (-F.col("ordinal")).alias("neg"), "costo")).alias("best")
-    return single.unionByName(several).groupBy("descripcion", "rule").agg(choice).select("descripcion", "rule", F.col("best.costo").alias("costo")).hint("merge")
+    return best.groupBy("descripcion", "k_robust", "rule").agg(choice).select("descripcion", "k_robust", "rule", F.when(F.col("rule").isNotNull(), F.col("best.costo")).alias("costo"))
 
 
 def length_reach(n: Column, cutoff: float) -> tuple[Column, Column]:
@@ -105,14 +125,19 @@ def _changes(m: Column, n: Column, cutoff: float, most: int | None) -> Column:
     return found if most is None else F.least(found, F.lit(most))
 
 
-def _cuts(others: DataFrame, other: str) -> Column:
-    """Where a text of length _n is cut in two, such that both parts tell many texts apart; any place is right, this only saves work."""
+def _most_changes(m: int, n: int, cutoff: float, most: int | None) -> int:
+    """_changes() of numbers."""
+    found = math.floor((1 - cutoff) * (m + n) + _SLACK)
+    return found if most is None else min(found, most)
+
+
+def _cuts(others: DataFrame, other: str) -> dict[int, int]:
+    """By length: where a text is cut in two, such that both parts tell many texts apart; any place is right, this only saves work."""
     n = F.col("_n")
     places = others.select(other, F.length(other).alias("_n")).where(n.between(4, SHORT)).withColumn("_h", F.explode(F.sequence((n / 4).cast("int"), (n * 3 / 4).cast("int"))))
     parts = places.groupBy("_n", "_h").agg(F.approx_count_distinct(F.substring(other, F.lit(1), F.col("_h"))).alias("a"), F.approx_count_distinct(F.substring(other, F.col("_h") + 1, n)).alias("b"))
     best = parts.groupBy("_n").agg(F.max_by("_h", F.struct(F.least("a", "b"), -F.abs(F.col("_h") * 2 - n))).alias("_h")).collect()  # at most one row for each short length
-    table = F.create_map(*[F.lit(int(x)) for r in best for x in (r["_n"], r["_h"])]) if best else F.lit(None).cast("map<int,int>")
-    return F.coalesce(F.try_element_at(table, n), (n / 2).cast("int"))
+    return {r["_n"]: r["_h"] for r in best}
 
 
 def similar_candidates(words: DataFrame, word: str, others: DataFrame, other: str, cutoff: float, most: int | None = None) -> DataFrame:
@@ -143,34 +168,33 @@ def _shortened_pairs(words: DataFrame, word: str, others: DataFrame, other: str,
     the end; beginning and end are longer or shorter by no more than these.
 
     The words' forms are written; of the others' only those are handed on that a filter of bounded size takes for one of them."""
-    n, m, d, h = (F.col(f"_{x}") for x in "nmdh")
-    first, second = lambda d: F.floor(d / 2).cast("int"), lambda d: d - 1 - F.floor(d / 2).cast("int")
-    left_out = lambda a, b, t: F.floor((a - b + t) / 2).cast("int")  # noqa: E731  # of a characters: a - ceil((a + b - t) / 2)
-    whole = lambda m, n, d: F.greatest(left_out(m, n, d), left_out(n, m, d)) <= WHOLE
-    kind = lambda number: n * 3 + number
-    up_to = lambda number, text, most: F.transform(F.sequence(F.lit(0), most), lambda times: piece(kind(number), text, times))
-    cell = lambda m, n: _changes(m, n, cutoff, most)
-
-    cuts = _cuts(others, other) if most is None or most > WHOLE else (n / 2).cast("int")
-    cells = words.select(word).distinct().withColumn("_m", F.length(word)).where(m.between(1, SHORT)).withColumn("_n", F.explode(_reach(m, cutoff)))
-    cells = cells.withColumn("_d", cell(m, n)).where(_is_short(m, n, d) & (F.abs(m - n) <= d)).withColumn("_h", cuts)
-    ends = lambda number, size, t, text: F.transform(
-        F.filter(F.sequence(size - t, size + t), lambda q: (q >= 0) & (q <= m)), lambda q: piece(kind(number), text(q), left_out(q, size, t))
-    )
-    asked = F.when(whole(m, n, d), F.array(piece(kind(0), F.col(word), left_out(m, n, d)))).otherwise(
-        F.concat(ends(1, h, first(d), lambda q: F.substring(word, F.lit(1), q)), ends(2, n - h, second(d), lambda q: F.substring(word, m - q + 1, q)))
-    )
-    parts = materialize(forms(cells, asked).select(word, "_k"), "shortened")
-
-    sized = others.withColumn("_n", F.length(other)).where(n.between(1, SHORT)).withColumn("_h", cuts)
-    head, tail = F.substring(other, F.lit(1), h), F.substring(other, h + 1, n)
-    of_cell = lambda m: (
-        F.when(~_is_short(m, n, cell(m, n)) | (F.abs(m - n) > cell(m, n)), F.array().cast(PIECES))
-        .when(whole(m, n, cell(m, n)), F.array(piece(kind(0), F.col(other), left_out(n, m, cell(m, n)))))
-        .otherwise(F.concat(up_to(1, head, first(cell(m, n))), up_to(2, tail, second(cell(m, n)))))
-    )
-    cut = forms(sized, F.array_distinct(F.flatten(F.transform(_reach(n, cutoff), of_cell))), Hashes(parts)).select("_k", *others.columns)
-    met = cut.join(parts.hint("merge"), "_k").withColumn("_d", cell(F.length(word), F.length(other)))
+    first, second = lambda d: d // 2, lambda d: d - 1 - d // 2
+    left_out = lambda a, b, t: (a - b + t) // 2  # noqa: E731  # of a characters: a - ceil((a + b - t) / 2)
+    whole = lambda m, n, d: max(left_out(m, n, d), left_out(n, m, d)) <= WHOLE
+    kind = lambda n, number: n * 3 + number
+    cuts = _cuts(others, other) if most is None or most > WHOLE else {}
+
+    asked: dict[int, list[tuple[int, int, int, int]]] = {}  # by the word's length: pieces of the word
+    offered: dict[int, list[tuple[int, int, int, int]]] = {}  # by the other text's length: pieces of it
+    for n in range(1, SHORT + 1):
+        h = cuts.get(n, n // 2)
+        for m in range(1, SHORT + 1):
+            d = _most_changes(m, n, cutoff, most)
+            if d > HALVED or abs(m - n) > d:
+                continue
+            mine, others_ = asked.setdefault(m, []), offered.setdefault(n, [])
+            if whole(m, n, d):
+                mine.append((kind(n, 0), 0, m, left_out(m, n, d)))
+                others_.append((kind(n, 0), 0, n, left_out(n, m, d)))
+                continue
+            for number, size, t in ((1, h, first(d)), (2, n - h, second(d))):
+                mine += [(kind(n, number), 0 if number == 1 else m - q, q, left_out(q, size, t)) for q in range(max(0, size - t), min(m, size + t) + 1)]
+                others_ += [(kind(n, number), 0 if number == 1 else h, size, times) for times in range(t + 1)]
+
+    n = F.length(word)
+    parts = materialize(forms(_dealt(words.select(word), word).distinct().where(n.between(1, SHORT)), Slices(word, asked)), "shortened")
+    cut = forms(others.where(F.length(other).between(1, SHORT)), Slices(other, offered), Hashes(parts)).select("_k", *others.columns)
+    met = cut.join(parts.hint("merge"), "_k").withColumn("_d", _changes(n, F.length(other), cutoff, most))
     return met.where(F.expr(f"levenshtein(`{word}`, `{other}`, _d) >= 0")).select(word, *others.columns)
 
 
@@ -204,15 +228,19 @@ def _segment_pairs(words: DataFrame, word: str, others: DataFrame, other: str, c
 
 
 def match_similar(targets: DataFrame, costs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """descripcion, cost and similarity of the most similar cost (the first of equals) at or above the threshold.
+    """descripcion, cost and similarity of the most similar cost (the first of equals) at or above the threshold."""
+    robust = lambda df: df.withColumn("k_robust", tx.key_robust(F.col("descripcion")))
+    return _similar(materialize(robust(_distinct(targets)), "wanted"), robust(_first_costs(costs)), threshold)
+
+
+def _similar(wanted: DataFrame, offers: DataFrame, threshold: float) -> DataFrame:
+    """match_similar() of distinct descriptions and first costs with k_robust; wanted is asked for several times.
 
     Short texts are first compared with those of two changes at most: with three or
     more, the ratio of a text of m characters is 2 m / (2 m + 3) or less, so what
     is more similar is settled.  Only the rest meets all it may be similar to."""
-    dealt = lambda df: df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # noqa: E731  # few bytes with much work
-    wanted = materialize(dealt(_keyed(targets).select("descripcion", "k_robust")), "wanted")  # asked for several times
-    offered = _first_costs(costs).withColumn("c_robust", keys(F.col("descripcion"))["robust"]).groupBy("c_robust").agg(F.min(F.struct("ordinal", "costo")).alias("c")).select("c_robust", "c.ordinal", "c.costo")
-    offered = materialize(dealt(offered), "offered")
+    offered = offers.groupBy(F.col("k_robust").alias("c_robust")).agg(F.min(F.struct("ordinal", "costo")).alias("c")).select("c_robust", "c.ordinal", "c.costo")
+    offered = materialize(_dealt(offered), "offered")
 
     def best(words: DataFrame, most: int | None) -> DataFrame:
         scored = best_ratios(similar_candidates(words, "k_robust", offered, "c_robust", threshold, most), "k_robust", "c_robust", threshold)
@@ -220,7 +248,7 @@ def match_similar(targets: DataFrame, costs: DataFrame, threshold: float = THRES
 
     m = F.length("k_robust")
     near = materialize(best(wanted.where(m <= SHORT - WHOLE), WHOLE).where(F.col("b.sim") > 2 * m / (2 * m + WHOLE + 1) + _SLACK), "near")
-    rest = materialize(dealt(wanted.select("k_robust").distinct().join(near.hint("merge"), "k_robust", "left_anti")), "far")
+    rest = materialize(_dealt(wanted.select("k_robust").distinct().join(near.hint("merge"), "k_robust", "left_anti")), "far")
     found = near.unionByName(best(rest, None)).hint("merge")
     return wanted.join(found, "k_robust").select("descripcion", F.col("b.costo").alias("costo"), F.col("b.sim").alias("similitud"))
 
@@ -228,11 +256,11 @@ def match_similar(targets: DataFrame, costs: DataFrame, threshold: float = THRES
 def look_up(targets: DataFrame, costs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """targets with precio_encontrado, metodo_coincidencia and similitud; similarity only sees what no rule finds."""
     targets = targets.withColumn("descripcion", F.coalesce("descripcion", F.lit("")))
-    ruled = materialize(match_rules(targets, costs), "ruled").hint("merge")
+    offers = materialize(_with_keys(_first_costs(costs)), "offers")
+    ruled = materialize(_ruled(targets, offers), "ruled")
     label = F.coalesce(*[F.when(F.col("rule") == i, F.lit(name)) for i, (name, _, _) in enumerate(RULES)])
-    by_rule = ruled.select("descripcion", F.col("costo").alias("precio_encontrado"), label.alias("metodo_coincidencia"), F.lit(1.0).alias("similitud"))
-    rest = targets.select("descripcion").distinct().join(ruled.select("descripcion"), "descripcion", "left_anti")
-    similar = match_similar(rest, costs, threshold).select(
+    by_rule = ruled.where("rule IS NOT NULL").select("descripcion", F.col("costo").alias("precio_encontrado"), label.alias("metodo_coincidencia"), F.lit(1.0).alias("similitud"))
+    similar = _similar(ruled.where("rule IS NULL").select("descripcion", "k_robust"), offers, threshold).select(
         "descripcion", F.col("costo").alias("precio_encontrado"), F.format_string("fallback_sim_%.2f", "similitud").alias("metodo_coincidencia"), "similitud"
     )
     found = targets.join(by_rule.unionByName(similar).hint("merge"), "descripcion", "left")

@@ -108,3 +108,57 @@ def test_candidates_by_brute_force(spark, cutoff, most):
             near = most is None or (n - 2 * common <= most and max(len(x), len(y)) <= prices.SHORT)
             if x == y == "" or x and y and 2 * common / n >= cutoff and near:
                 assert (x, y) in pairs
+
+
+def test_summary_deals_its_work(spark, alike_parts, monkeypatch):
+    """Costs' keys and shortened forms are made by all tasks, though the lists are few bytes, and their pieces by no expression of each row."""
+    files, plans, write, forms = {}, [], prices.materialize, prices.forms
+
+    def written(df, name):
+        out = write(df, name)
+        files.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    def made(*args):
+        out = forms(*args)
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    monkeypatch.setattr(prices, "materialize", written)
+    monkeypatch.setattr(prices, "forms", made)
+    assert QUERIES["price_summary"](spark, alike_parts).first().asDict() == {"encontrados": 2000, "no_encontrados": 0}
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert files["shortened"] == [tasks, tasks] and files["offers"] == files["offered"] == [tasks]
+    assert plans and not any("lambda" in plan for plan in plans)
+
+
+def test_rules_with_many_kinds_of_keys(spark):
+    """Against the nine rules one after the other: texts that are several keys of each other, prices, white space, case, nothing."""
+    rnd = random.Random(8)
+    texts = ["", " ", None, "100", "$1,500", *("".join(rnd.choice(["a", "A", " ", "  ", "\u00a0", "\u200b", "É", "ß", "b", " $1,500", " 100"]) for _ in range(rnd.randint(1, 5))) for _ in range(300))]
+    targets = spark.createDataFrame([(i, t) for i, t in enumerate(texts[::2])], "ordinal long, descripcion string")
+    costs = spark.createDataFrame([(i, t, str(i)) for i, t in enumerate(texts[1::2])], "ordinal long, descripcion string, costo string")
+    keyed = lambda df: [r.asDict() for r in prices._with_keys(df).collect()]
+    for r in (rows := keyed(targets)):  # each key as by its own expression
+        assert r["k_exact"] == (r["descripcion"] or "")
+    offered, expected = keyed(costs), {}
+    for t in rows:
+        for i, (_, a, b) in enumerate(prices.RULES):
+            if hits := [c for c in offered if c[f"k_{b}"] == t[f"k_{a}"]]:
+                best = max(hits, key=lambda c: (SequenceMatcher(None, t["k_robust"], c["k_robust"]).ratio(), -c["ordinal"]))
+                expected[t["k_exact"]] = (i, best["costo"])
+                break
+    assert {r["descripcion"]: (r["rule"], r["costo"]) for r in prices.match_rules(targets, costs).collect()} == expected
+    assert len({rule for rule, _ in expected.values()}) > 4
+
+
+def test_staged_keys(spark):
+    """Keys computed in steps are those of the whole expressions."""
+    tx = prices.tx
+    rows = spark.createDataFrame([(t,) for t in ("", None, " Ab\u00a0c ", "\ufeffÉ\u200b x  $1,500 ", "ß 100", "100 ", "x \u200b- 1.000,50", "A\tB $5 $6")], "descripcion string")
+    x = tx.text_or_empty(F.col("descripcion"))
+    cut = tx.strip_trailing_price(x)
+    whole = {"exact": x, "trim": tx.key_trim(x), "strip_trim": tx.key_trim(cut), "casefold": tx.key_casefold(x), "robust": tx.key_robust(x), "strip_robust": tx.key_robust(cut)}
+    for r in prices._with_keys(rows).select("*", *[c.alias(name) for name, c in whole.items()]).collect():
+        for name in whole:
+            assert r[f"k_{name}"] == r[name], (r, name)
