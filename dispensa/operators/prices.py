@@ -276,9 +276,14 @@ def summary(looked_up: DataFrame) -> DataFrame:
     return looked_up.agg(F.count_if(~missing).alias("encontrados"), F.count_if(missing).alias("no_encontrados"))
 
 
-def preview(looked_up: DataFrame, n: int = 10) -> DataFrame:
+def preview(rows: DataFrame, n: int = 10) -> DataFrame:
     """The first rows."""
-    return looked_up.orderBy("ordinal").limit(n)
+    return rows.orderBy("ordinal").limit(n)
+
+
+def look_up_first(targets: DataFrame, costs: DataFrame, n: int = 10) -> DataFrame:
+    """preview(look_up()), looking up only the targets it shows, among all costs: a target's price depends on no other target."""
+    return preview(look_up(materialize(preview(targets, n), "first"), costs), n)
 
 
 def not_found(looked_up: DataFrame) -> DataFrame:

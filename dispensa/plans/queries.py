@@ -528,7 +528,7 @@ def price_summary(v: Views) -> DataFrame:
 
 @query()
 def price_preview(v: Views) -> DataFrame:
-    return prices.preview(prices.look_up(v.price_targets, v.costs)).withColumn("similitud", F.round("similitud", 6))
+    return prices.look_up_first(v.price_targets, v.costs).withColumn("similitud", F.round("similitud", 6))
 
 
 def _catalog(v: Views) -> DataFrame:

@@ -162,3 +162,18 @@ def test_staged_keys(spark):
     for r in prices._with_keys(rows).select("*", *[c.alias(name) for name, c in whole.items()]).collect():
         for name in whole:
             assert r[f"k_{name}"] == r[name], (r, name)
+
+
+def test_preview_looks_up_what_it_shows(spark, alike_parts, monkeypatch):
+    """The first ten rows of the whole lookup, with their prices among all costs; the other 1,990 targets are not looked up."""
+    sought, real = [], prices.similar_candidates
+
+    def counted(words, word, others, *args):
+        sought.append((words.count(), others.count()))
+        return real(words, word, others, *args)
+
+    whole = QUERIES["price_lookup"](spark, alike_parts).orderBy("ordinal").limit(10).collect()
+    monkeypatch.setattr(prices, "similar_candidates", counted)
+    found = QUERIES["price_preview"](spark, alike_parts)
+    assert found.columns == list(whole[0].asDict()) and sorted(found.collect()) == sorted(whole)
+    assert all(0 < words <= 10 and others == 2000 for words, others in sought if words) and any(words for words, _ in sought)
